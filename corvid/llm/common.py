@@ -101,15 +101,13 @@ def word_hashes(data: np.ndarray, at: np.ndarray, lower: bool = False) -> tuple[
         return np.zeros(0, np.uint64), z, z, np.zeros(len(at), np.int64)
     space = IS_SPACE[raw]
     inside = ~space
-    before = np.empty(n, bool)
-    before[0] = True
-    before[1:] = space[:-1]
-    edges = rel[1:-1]
-    before[edges[edges < n]] = True
+    first = np.zeros(n + 1, bool)  # of a row's bytes, and beyond the last
+    first[rel] = True
+    before = first[:n].copy()
+    before[1:] |= space[:-1]
+    after = first[1:]
+    after[:-1] |= space[1:]
     start = np.flatnonzero(inside & before)
-    after = np.empty(n, bool)
-    after[-1] = True
-    after[:-1] = before[1:]
     end = np.flatnonzero(inside & after) + 1
     power, inverse = _powers(n + 1)
     with np.errstate(over="ignore"):
