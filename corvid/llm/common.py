@@ -49,6 +49,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Every ASCII character that is no letter or digit.
+IS_MARK = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,8 +92,9 @@ def chunks_of(at: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
         i = j
 
 
-def word_hashes(data: np.ndarray, at: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For rows with byte offsets at: a 64-bit hash of every word, byte start and end of each, and the word range of each row."""
+def word_hashes(data: np.ndarray, at: np.ndarray, lower: bool = False, breaks: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For rows with byte offsets at: a 64-bit hash of every word, byte start and end of each, and the word range of each row.
+    breaks marks the bytes between words."""
     base = int(at[0])
     raw = data[base : int(at[-1])]
     n = len(raw)
@@ -99,7 +102,7 @@ def word_hashes(data: np.ndarray, at: np.ndarray, lower: bool = False) -> tuple[
     if not n:
         z = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), z, z, np.zeros(len(at), np.int64)
-    space = IS_SPACE[raw]
+    space = breaks[raw]
     inside = ~space
     first = np.zeros(n + 1, bool)  # of a row's bytes, and beyond the last
     first[rel] = True
