@@ -16,8 +16,8 @@ are routed to small trees first:
    linked sets differ in at most d shingles, so that of d + 1 groups of shingles, dealt by hash bits, one is equal in both:
    equal sums of a group are candidates. Sums are counted with the components of their documents, so that sums within one
    component cost nothing more. Bitmaps of fixed size (no cap: collisions only let more through) select the sums that
-   components share and the texts that are to be verified. First each document is held against one document of each sum,
-   then, where components are still apart, against all of the others.
+   components share and the texts that are to be verified. Twice each document is held against one document of each sum,
+   the one that shares most of its sums with others; then, where components are still apart, against all of the others.
 
 No pair of one component is expanded and none between components is lost, up to 64-bit collisions of hashes.
 
@@ -309,19 +309,25 @@ def similar_components(docs: DataFrame) -> DataFrame:
     again = docs.mapInArrow(_sums(bits), "doc_id long, sums array<long>").join(skip, "doc_id", "left_anti")
     members = settle(again.select("doc_id", F.explode("sums").alias("sum")).join(shared, "sum", "left_semi").distinct())
 
+    # a document that shares more of its sums is nearer to the middle of its group: the first to be held against
+    shares = members.groupBy("doc_id").agg(F.count("*").alias("shares"))
+    members = settle(members.join(shares, "doc_id"))
     checked = None
-    for whole in (False, True):
+    for whole in (False, False, True):
         now = settle(placed(component, members))
         if whole:
             other = now.select("sum", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
+            met = now.join(other, "sum").where(F.col("ca") < F.col("component"))
         else:
-            other = settle(now.groupBy("sum").agg(F.min(F.struct("component", "doc_id")).alias("p")).select("sum", F.col("p.doc_id").alias("a"), F.col("p.component").alias("ca")))
-        met = now.join(other, "sum").where(F.col("ca") < F.col("component"))
+            first = now.groupBy("sum").agg(F.max(F.struct("shares", (-F.col("doc_id")).alias("least"), "component")).alias("p"))
+            other = settle(first.select("sum", (-F.col("p.least")).alias("a"), F.col("p.component").alias("ca")))
+            met = now.join(other, "sum").where(F.col("ca") != F.col("component"))
         pairs = met.select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        checked = settle(pairs)
-        links = settle(links.unionByName(_verify(docs, checked)))
+        pairs = settle(pairs)
+        checked = pairs if checked is None else checked.unionByName(pairs)
+        links = settle(links.unionByName(_verify(docs, pairs)))
         component = settle(connected_components(links, "a", "b"))
     return placed(component, led.select("doc_id", F.col("n").alias("n_shingles"))).withColumnRenamed("component", "component_id")
 
