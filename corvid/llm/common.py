@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -118,3 +119,50 @@ def word_hashes(data: np.ndarray, at: np.ndarray, lower: bool = False, breaks: n
         np.cumsum((LOWER[raw] if lower else raw).astype(np.uint64) * power[:n] + power[:n], out=total[1:])
         h = mix64((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     return h, start, end, np.searchsorted(start, rel)
+
+
+# --- bitmaps of fixed size --------------------------------------------------------------------------------------------
+
+BITMAP_BITS = 25
+
+
+def _slots(values: np.ndarray) -> np.ndarray:
+    return (mix64(np.ascontiguousarray(values).view(np.uint64)) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+
+
+def bitmap_has(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = _slots(values)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def bitmap_of(df: DataFrame, column: str):
+    """A broadcast bitmap of 2^BITMAP_BITS bits (4 MB whatever the input) with the bits of a long column set. It selects
+    what a join may need before the join shuffles it; equal bits of other values only let more rows through."""
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
+        for pdf in batches:
+            at = _slots(pdf.iloc[:, 0].to_numpy(np.int64))
+            np.bitwise_or.at(words, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        blocks = words.reshape(-1, 4096)
+        used = np.flatnonzero(blocks.any(1))
+        yield pd.DataFrame({"block": used.astype(np.int32), "bits": [blocks[b].tobytes() for b in used]})
+
+    def merge(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"block": [key[0]], "bits": [np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in pdf["bits"]], axis=0).tobytes()]})
+
+    marked = df.select(column).where(F.col(column).isNotNull()).coalesce(64).mapInPandas(mark, "block int, bits binary")
+    words = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
+    for row in marked.groupBy("block").applyInPandas(merge, "block int, bits binary").collect():
+        words.reshape(-1, 4096)[row["block"]] = np.frombuffer(row["bits"], np.uint8)
+    return df.sparkSession.sparkContext.broadcast(words.tobytes())
+
+
+def in_bitmap(bitmap, column: str) -> Column:
+    """True where the bit of a long column is set; null counts as 0."""
+
+    @F.pandas_udf("boolean")
+    def has(values: pd.Series) -> pd.Series:
+        return pd.Series(bitmap_has(np.frombuffer(bitmap.value, np.uint8), values.to_numpy(np.int64)))
+
+    return has(F.coalesce(F.col(column).cast("long"), F.lit(0)))

@@ -30,19 +30,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm.common import chunks_of, mix64, utf8_parts, word_hashes
+from corvid.llm.common import bitmap_has, bitmap_of, chunks_of, in_bitmap, mix64, utf8_parts, word_hashes
 from corvid.operators.components import connected_components
 from corvid.session import settle, shuffle_width
 
 NUMERATOR, DENOMINATOR = 90, 100
 POINT_DIMS = 32
 LEADERS = 64
-BITMAP_BITS = 25
 
 
 # --- sets, points, signatures ---------------------------------------------------------------------------------------
@@ -221,7 +219,7 @@ def _sums(bitmap=None):
                     continue
                 s = signatures(u)
                 if bits is not None:
-                    s = s[_has(bits, s)]
+                    s = s[bitmap_has(bits, s)]
                 if len(s):
                     ids.append(doc)
                     sizes.append(len(s))
@@ -233,47 +231,12 @@ def _sums(bitmap=None):
     return run
 
 
-def _slots(values: np.ndarray) -> np.ndarray:
-    return (mix64(values.view(np.uint64)) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-
-
-def _has(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    at = _slots(np.ascontiguousarray(values))
-    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-
-
-def bitmap_of(df: DataFrame, column: str):
-    """A broadcast bitmap of 2^BITMAP_BITS bits (4 MB whatever the input) with the bits of a long column set."""
-
-    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
-        for pdf in batches:
-            at = _slots(pdf.iloc[:, 0].to_numpy(np.int64))
-            np.bitwise_or.at(words, at >> 3, (1 << (at & 7)).astype(np.uint8))
-        blocks = words.reshape(-1, 4096)
-        used = np.flatnonzero(blocks.any(1))
-        yield pd.DataFrame({"block": used.astype(np.int32), "bits": [blocks[b].tobytes() for b in used]})
-
-    def merge(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"block": [key[0]], "bits": [np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in pdf["bits"]], axis=0).tobytes()]})
-
-    marked = df.select(column).coalesce(64).mapInPandas(mark, "block int, bits binary")
-    words = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
-    for row in marked.groupBy("block").applyInPandas(merge, "block int, bits binary").collect():
-        words.reshape(-1, 4096)[row["block"]] = np.frombuffer(row["bits"], np.uint8)
-    return df.sparkSession.sparkContext.broadcast(words.tobytes())
-
-
 def _verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of doc_ids that are linked, by the sets of their texts."""
     ids = settle(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     chosen = bitmap_of(ids, "doc_id")
 
-    @F.pandas_udf("boolean")
-    def wanted(doc: pd.Series) -> pd.Series:
-        return pd.Series(_has(np.frombuffer(chosen.value, np.uint8), doc.fillna(0).to_numpy(np.int64)))
-
-    texts = docs.where("doc_id is not null").where(wanted("doc_id")).join(ids, "doc_id", "left_semi").select("doc_id", "text")
+    texts = docs.where("doc_id is not null").where(in_bitmap(chosen, "doc_id")).join(ids, "doc_id", "left_semi").select("doc_id", "text")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

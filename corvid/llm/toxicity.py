@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm.common import IS_SPACE, LOWER, chunks_of, mix64, utf8_parts
+from corvid.llm.common import IS_SPACE, LOWER, bitmap_of, chunks_of, in_bitmap, mix64, utf8_parts
+from corvid.session import settle
 
 ORDERS = (4, 5, 6)
 BITS = 18
@@ -83,8 +84,10 @@ def held_out(doc_id: Column) -> Column:
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    train = marks.where(~held_out(F.col("doc_id")))
-    return docs.select("doc_id", "text").join(train, "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int"))
+    train = settle(marks.where(~held_out(F.col("doc_id"))))
+    ids = docs.select(F.col("doc_id").cast("long"), "text")
+    some = ids.where(~held_out(F.col("doc_id"))).where(in_bitmap(bitmap_of(train, "doc_id"), "doc_id"))  # before texts are shuffled
+    return some.join(train, "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int"))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +106,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicModel:
-    rows = training_rows(docs, labels)
+    rows = settle(training_rows(docs, labels))
     counted = rows.select("text", "toxic").mapInArrow(_count, "feature long, clean long, toxic long")
     sums = counted.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     got = sums.where(f"clean + toxic >= {MIN_COUNT} or feature < 0").toPandas()  # 2^BITS rows at most
