@@ -1,11 +1,11 @@
 """Toxicity by naive-Bayes-weighted character n-grams.
 
 Features are hashed byte n-grams of the lower-cased text (orders 4 to 6, white space runs as one space), each counted once
-a text. Their log-count ratios r = log((p + a) / |p|) - log((q + a) / |q|) between toxic and other training documents are
-summed over all training rows on Spark. The features with the largest |r| sqrt(count) are kept; a logistic regression on
-presence times r is then fitted to a bounded sample of the training rows (SAMPLE rows, half of them toxic where there are
-enough, chosen by a hash of doc_id) and its intercept is moved to the prior of all training rows. The model is a table of
-KEPT weights, broadcast; scoring reads whole texts in one pass and shuffles nothing.
+a text. The model is fitted to a bounded sample of the training rows: SAMPLE at most, half of them toxic where there are
+enough, chosen by a hash of doc_id. The log-count ratios r = log((p + a) / |p|) - log((q + a) / |q|) between its toxic and
+other documents are summed on Spark; the features with the largest |r| sqrt(count) are kept, a logistic regression on
+presence times r is fitted, and its intercept is moved to the prior of all training labels. The model is a table of KEPT
+weights, broadcast; scoring reads whole texts in one pass, and no text is ever shuffled.
 
 Training rows are those with crc32(doc_id as text) mod 5 not 0 and a label. Repeated labels of a document count as toxic
 if any is. Nulls: a null text is empty and scores like any text without features; a null doc_id is never labelled and is
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm.common import IS_SPACE, LOWER, bitmap_of, chunks_of, in_bitmap, mix64, utf8_parts
+from corvid.llm.common import IS_SPACE, LOWER, chunks_of, mix64, utf8_parts
 from corvid.session import settle
 
 ORDERS = (4, 5, 6)
@@ -82,12 +82,22 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    train = settle(marks.where(~held_out(F.col("doc_id"))))
-    ids = docs.select(F.col("doc_id").cast("long"), "text")
-    some = ids.where(~held_out(F.col("doc_id"))).where(in_bitmap(bitmap_of(train, "doc_id"), "doc_id"))  # before texts are shuffled
-    return some.join(train, "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int"))
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, int, int]:
+    """doc_id, text, toxic of a bounded sample of the training rows, and the clean and toxic documents among all of them.
+    Labels alone are counted and chosen from; what is broadcast to the texts has `sample` rows at most."""
+    marks = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
+    train = settle(marks.where(~held_out(F.col("doc_id"))).select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic")))
+    sizes = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
+    clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
+    most = {1: min(toxic, max(sample // 2, sample - clean)), 0: min(clean, max(sample // 2, sample - toxic))}
+    unit = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
+    share = {k: min(1.0, 1.2 * most[k] / max(1, n) + 1e-9) for k, n in ((0, clean), (1, toxic))}
+    near = train.withColumn("unit", unit).where(F.col("unit") < F.when(F.col("toxic") > 0, share[1]).otherwise(share[0]))
+    rows = near.toPandas().sort_values(["unit", "doc_id"])
+    chosen = pd.concat([rows[rows.toxic == k].head(most[k]) for k in (0, 1)])[["doc_id", "toxic"]]
+    table = docs.sparkSession.createDataFrame(list(chosen.itertuples(index=False, name=None)), "doc_id long, toxic int")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return texts.join(F.broadcast(table), "doc_id"), clean, toxic
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,13 +116,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicModel:
-    rows = settle(training_rows(docs, labels))
+    found, clean_all, toxic_all = training_rows(docs, labels, sample)
+    rows = settle(found)
     counted = rows.select("text", "toxic").mapInArrow(_count, "feature long, clean long, toxic long")
     sums = counted.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     got = sums.where(f"clean + toxic >= {MIN_COUNT} or feature < 0").toPandas()  # 2^BITS rows at most
     total = got[got.feature < 0]
     clean_docs, toxic_docs = (int(total[c].sum()) for c in ("clean", "toxic"))
-    prior = (toxic_docs + 1) / (clean_docs + toxic_docs + 2)
+    prior = (toxic_all + 1) / (clean_all + toxic_all + 2)
     empty = ToxicModel(np.full(1 << BITS, -1, np.int64), np.zeros(1), float(np.log(prior / (1 - prior))))
     if not clean_docs or not toxic_docs:
         return empty
@@ -129,12 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicModel:
             f = [x.tolist() for x in text_features(*utf8_parts(batch.column("text")), table)]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(f, pa.list_(pa.int64()))], ["toxic", "f"])
 
-    # a bounded sample: the shares are set from the counts so that about `sample` rows are expected, and limit() is the bound
-    wanted = {1: min(1.0, sample / 2 / toxic_docs)}
-    wanted[0] = min(1.0, (sample - min(sample // 2, toxic_docs)) / clean_docs)
-    unit = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 20)) / float(1 << 20)
-    chosen = rows.where(unit < F.when(F.col("toxic") > 0, wanted[1]).otherwise(wanted[0])).select("text", "toxic")
-    got_rows = chosen.mapInArrow(places, "toxic int, f array<long>").limit(2 * sample).toPandas()
+    got_rows = rows.select("text", "toxic").mapInArrow(places, "toxic int, f array<long>").toPandas()  # the bounded sample
     y = (got_rows.toxic.to_numpy() > 0).astype(float)
     lengths = np.array([len(x) for x in got_rows.f], np.int64)
     flat = np.concatenate([np.asarray(x, np.int64) for x in got_rows.f]) if lengths.sum() else np.zeros(0, np.int64)
@@ -142,7 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicModel:
     if not len(y) or y.min() == y.max():
         return empty
     # the sample's odds give way to those of all training rows
-    bias += np.log(toxic_docs / clean_docs) - np.log(y.sum() / (len(y) - y.sum()))
+    bias += np.log(toxic_all / clean_all) - np.log(y.sum() / (len(y) - y.sum()))
     return ToxicModel(table, weights * ratio, float(bias))
 
 
