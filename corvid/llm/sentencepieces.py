@@ -2,7 +2,8 @@
 
 The lattice of a text has a node for each place and an edge for each vocabulary piece that fits there; characters outside
 the vocabulary are edges of byte pieces. Pieces never run over the start of a word (white space, then anything else), so
-the lattice of a text is the chain of the lattices of its words. Pieces weigh 1 / (rank + 2) ** ALPHA, their rank being
+the lattice of a text is the chain of the lattices of its words; it falls apart as well between any two ASCII characters
+that no piece holds side by side. Pieces weigh 1 / (rank + 2) ** ALPHA, their rank being
 that of their merge. The forward sums of a lattice give the exact log-mass of what lies behind each node, and with them as
 the heuristic a perturbed A* search pops segmentations in the order of their Gumbel-perturbed log-probabilities: the best
 one of a region is drawn by walking the lattice back from the end; what the region holds besides it is split by the first
@@ -87,6 +88,13 @@ class Vocabulary:
         rank = np.array([-self.processor.get_score(int(i)) for i in ids])
         rank[rank > size] = size
         codes = np.frombuffer("".join(pieces).encode("utf-32-le"), np.uint32)
+        # which ASCII characters may stand side by side within a piece; a lattice falls apart where they may not
+        self.joins = np.ones((129, 129), bool)
+        self.joins[:128, :128] = False
+        kinds = np.minimum(codes, 128)
+        within = np.ones(len(codes) - 1, bool)
+        within[np.cumsum([len(p) for p in pieces])[:-1] - 1] = False
+        self.joins[kinds[:-1][within], kinds[1:][within]] = True
         ends = np.cumsum([len(p) for p in pieces])
         starts = np.concatenate(([0], ends[:-1]))
         hashes = _span_hash(_prefix(codes), starts, ends)
@@ -95,17 +103,22 @@ class Vocabulary:
         self.log = (-alpha * np.log(rank + 2))[order]
         # a direct table over the top bits: place of the first hash that may be equal
         self.bits = 20
-        self.first = np.searchsorted(self.hash, np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)).astype(np.int32)
-        self.steps = int(np.bincount((self.hash >> np.uint64(64 - self.bits)).astype(np.int64)).max())
+        edges = np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)
+        self.first = np.append(np.searchsorted(self.hash, edges), len(self.hash)).astype(np.int32)
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Place of each hash, or -1."""
-        at = self.first[(h >> np.uint64(64 - self.bits)).astype(np.int64)]
+        slot = (h >> np.uint64(64 - self.bits)).astype(np.int64)
+        at, end = self.first[slot], self.first[slot + 1]
         out = np.full(len(h), -1, np.int64)
-        for step in range(self.steps):
-            k = np.minimum(at + step, len(self.hash) - 1)
-            same = self.hash[k] == h
-            out[same] = k[same]
+        left = np.flatnonzero(at < end)  # few: most spans are no piece
+        at, end, h = at[left], end[left], h[left]
+        while len(left):
+            same = self.hash[at] == h
+            out[left[same]] = at[same]
+            at = at + 1
+            more = ~same & (at < end)
+            left, at, end, h = left[more], at[more], end[more], h[more]
         return out
 
 
@@ -118,12 +131,23 @@ class Lattices:
 
     def clear(self) -> None:
         self.last: dict[int, int] = {}  # hash of a word: its last node
-        self.nodes = 0
-        self.high = np.zeros(0, np.uint64)  # node << 32 plus the cumulated probability, 32 bits
-        self.back = np.zeros(0, np.int32)
-        self.piece = np.zeros(0, np.int32)
-        self.log = np.zeros(0)
-        self.is_first = np.zeros(0, bool)
+        self.nodes = self.edges = 0
+        self.room = {"high": np.zeros(0, np.uint64), "back": np.zeros(0, np.int32), "piece": np.zeros(0, np.int32), "log": np.zeros(0), "is_first": np.zeros(0, bool)}
+        self._views()
+
+    def _views(self) -> None:
+        n = self.edges
+        self.high = self.room["high"][:n]  # node << 32 plus the cumulated probability, 32 bits
+        self.back, self.piece, self.log = self.room["back"][:n], self.room["piece"][:n], self.room["log"][:n]
+        self.is_first = self.room["is_first"][: self.nodes]
+
+    def _append(self, name: str, at: int, values: np.ndarray) -> None:
+        """Values put behind the first `at` ones; room grows by halves, so that adding words does not copy all others."""
+        held = self.room[name]
+        if at + len(values) > len(held):
+            self.room[name] = np.empty((at + len(values)) * 3 // 2, held.dtype)
+            self.room[name][:at] = held[:at]
+        self.room[name][at : at + len(values)] = values
 
     def lasts(self, codes: np.ndarray, start: np.ndarray, end: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Last nodes of the different words among spans of codes, and the number of the word of each span."""
@@ -131,7 +155,7 @@ class Lattices:
         keys = h.tolist()
         new = [i for i, k in enumerate(keys) if k not in self.last]
         if new:
-            if len(self.high) > CACHE_EDGES:
+            if self.edges > CACHE_EDGES:
                 self.clear()
                 new = list(range(len(keys)))
             at = first[new]
@@ -153,46 +177,48 @@ class Lattices:
             parts.append(self._group(codes, start[i:j], size[i:j], base[i:j], prefix))
             i = j
         high, back, piece, log = (np.concatenate([x[c] for x in parts]) for c in range(4))
-        self.high = np.concatenate((self.high, high))
-        self.back = np.concatenate((self.back, back.astype(np.int32)))
-        self.piece = np.concatenate((self.piece, piece.astype(np.int32)))
-        self.log = np.concatenate((self.log, log))
         total = int((size + 1).sum())
         marks = np.zeros(total, bool)
         marks[base - self.nodes] = True
-        self.is_first = np.concatenate((self.is_first, marks))
+        for name, values in (("high", high), ("back", back), ("piece", piece), ("log", log)):
+            self._append(name, self.edges, values)
+        self._append("is_first", self.nodes, marks)
+        self.edges += len(high)
         self.nodes += total
+        self._views()
 
     def _group(self, codes: np.ndarray, start: np.ndarray, size: np.ndarray, base: np.ndarray, prefix: np.ndarray) -> tuple:
         most = int(size[-1])
         word = np.repeat(np.arange(len(size)), size)
         place = np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size)
         at, room = start[word] + place, size[word] - place
-        weight = np.full((len(size), most + 1, LONGEST + 1), -np.inf)
-        number = np.zeros((len(size), most + 1, LONGEST + 1), np.int32)
-        for n in range(1, min(LONGEST, most) + 1):
+        longest = min(LONGEST, most)
+        weight = np.full((most + 1, longest + 1, len(size)), -np.inf)  # words last: neighbouring words are neighbouring reads
+        number = np.zeros((len(size), most + 1, longest + 1), np.int32)
+        for n in range(1, longest + 1):
             fits = np.flatnonzero(room >= n)
             k = self.vocabulary.find(_span_hash(prefix, at[fits], at[fits] + n))
             ok = k >= 0
             here = fits[ok]
-            weight[word[here], place[here] + n, n] = self.vocabulary.log[k[ok]]
+            weight[place[here] + n, n, word[here]] = self.vocabulary.log[k[ok]]
             number[word[here], place[here] + n, n] = self.vocabulary.id[k[ok]]
             if n == 1 and not ok.all():  # characters that are no piece become bytes
                 odd = fits[~ok]
                 code = codes[at[odd]].astype(np.int64)
                 code[code == OWN_MARK] = SPACE
-                weight[word[odd], place[odd] + 1, 1] = BYTE_LOG * (1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF))
+                weight[place[odd] + 1, 1, word[odd]] = BYTE_LOG * (1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF))
                 number[word[odd], place[odd] + 1, 1] = np.where(code < 0x80, FIRST_BYTE + code, -1 - code)
-        mass = np.full((len(size), most + 1), -np.inf)
-        mass[:, 0] = 0.0
+        mass = np.full((most + 1, len(size)), -np.inf)
+        mass[0] = 0.0
         with np.errstate(invalid="ignore", divide="ignore"):
             for p in range(1, most + 1):
-                n = min(p, LONGEST)
-                value = mass[:, p - n : p][:, ::-1] + weight[:, p, 1 : n + 1]
-                top = value.max(1)
-                mass[:, p] = np.where(np.isinf(top), -np.inf, top + np.log(np.exp(value - top[:, None]).sum(1)))
-        w, p, n = np.nonzero(number)
-        share = np.minimum(mass[w, p - n] + weight[w, p, n] - mass[w, p], 0.0)
+                n = min(p, longest)
+                value = weight[p, 1 : n + 1] + mass[p - n : p][::-1]
+                top = value.max(0)
+                value -= top
+                mass[p] = np.where(np.isinf(top), -np.inf, top + np.log(np.exp(value, out=value).sum(0)))
+        w, p, n = np.unravel_index(np.flatnonzero(number), number.shape)
+        share = np.minimum(mass[p - n, w] + weight[p, n, w] - mass[p, w], 0.0)
         tail = base[w] + p
         first = np.diff(tail, prepend=-1) != 0
         chance = np.exp(share)
@@ -277,6 +303,8 @@ def _work(lattices: Lattices, texts: list[str], keys: np.ndarray, k: int) -> lis
     space = raw == SPACE
     begins = space.copy()
     begins[1:] &= ~space[:-1]
+    kinds = np.minimum(raw, 128).astype(np.intp)
+    begins[1:] |= ~lattices.vocabulary.joins.ravel()[kinds[:-1] * 129 + kinds[1:]]
     begins[row_at[:-1]] = True
     start = np.flatnonzero(begins)
     end = np.append(start[1:], len(raw))
