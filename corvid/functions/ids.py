@@ -8,11 +8,12 @@ from decimal import Decimal
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 ID_SPACE = 10**38 - 1
 
 
-@F.pandas_udf("decimal(38,0)")
+@F.pandas_udf(DecimalType(38, 0))
 def _blake(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else Decimal(int.from_bytes(hashlib.blake2b(t.encode(), digest_size=16).digest(), "big") % ID_SPACE))
 
