@@ -12,12 +12,15 @@ are routed to small trees first:
    least hash; a document that verifies against a leader is linked to it, any other becomes a leader. Ranges split a hot
    key over tasks. A tree holds LEADERS leaders at most: what is missed here is found in step 3.
 2. Components of these links.
-3. Exact routing: sizes fall into intervals such that linked sets lie in the same or adjacent ones. Within an interval two
-   linked sets differ in at most d shingles, so that of d + 1 groups of shingles, dealt by hash bits, one is equal in both:
-   equal sums of a group are candidates. Sums are counted with the components of their documents, so that sums within one
-   component cost nothing more. Bitmaps of fixed size (no cap: collisions only let more through) select the sums that
-   components share and the texts that are to be verified. Twice each document is held against one document of each sum,
-   the one that shares most of its sums with others; then, where components are still apart, against all of the others.
+3. Exact routing: shingles are put in one order for all documents, the rarer first (by a count sketch of fixed size over
+   the whole corpus; any order gives right results). The first shingle that two linked sets share lies among the first
+   |A| - o + 1 of the one and |B| - o + 1 of the other, where o is the overlap that the threshold asks of their sizes, so
+   that only these few are exchanged, and a pair meets only where both places allow it. Edits make rare shingles, which
+   come first: copies that differ too much don't meet, however many they are. Shingles are counted with the components
+   of their documents, so that those within one component cost nothing more. Bitmaps of fixed size (no cap: collisions
+   only let more through) select the shingles that components share and the texts that are to be verified. Twice each
+   document is held against one document of each shingle, the one that shares most with others; then, where components
+   are still apart, against all of the others.
 
 No pair of one component is expanded and none between components is lost, up to 64-bit collisions of hashes.
 
@@ -30,6 +33,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +45,7 @@ from corvid.session import settle, shuffle_width
 NUMERATOR, DENOMINATOR = 90, 100
 POINT_DIMS = 32
 LEADERS = 64
+SKETCH_BITS = 20
 
 
 # --- sets, points, signatures ---------------------------------------------------------------------------------------
@@ -82,32 +87,20 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
-def _bounds(most: int) -> list[int]:
-    """First sizes of the intervals: sizes from l to floor(l / threshold) share one."""
-    out = [1]
-    while out[-1] <= most:
-        out.append(out[-1] * DENOMINATOR // NUMERATOR + 1)
-    return out
+def overlap_needed(a, b):
+    """The least overlap of linked sets of these sizes."""
+    return -((-NUMERATOR * (a + b)) // (NUMERATOR + DENOMINATOR))
 
 
-_LOWS = np.array(_bounds(1 << 40))
+def leading(u: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first shingles of a set in the order of (count class, hash), as many as a linked set may first share."""
+    keep = len(u) - (-(-NUMERATOR * len(u) // DENOMINATOR)) + 1
+    order = np.argsort(counts[_cells(u)], kind="stable")  # u is sorted: equal classes stay in the order of hashes
+    return u[order[:keep]].view(np.int64)
 
 
-def signatures(u: np.ndarray) -> np.ndarray:
-    """Sums of the groups of a set, for its own interval and the next."""
-    k = int(np.searchsorted(_LOWS, len(u), "right")) - 1
-    with np.errstate(over="ignore"):
-        total = np.zeros(len(u) + 1, np.uint64)
-        np.cumsum(mix64(u ^ np.uint64(0x5851F42D4C957F2D)), out=total[1:])
-        out = []
-        for tag in (k, k + 1):
-            top = int(_LOWS[tag + 1]) - 1
-            groups = (DENOMINATOR - NUMERATOR) * 2 * top // (DENOMINATOR + NUMERATOR) + 1
-            cuts = np.searchsorted(u, (np.arange(1, groups) * (2.0**64 / groups)).astype(np.uint64)) if groups > 1 else np.zeros(0, np.int64)
-            edges = np.concatenate(([0], cuts, [len(u)]))
-            part = total[edges[1:]] - total[edges[:-1]]
-            out.append(mix64(part ^ mix64(np.arange(groups, dtype=np.uint64) + np.uint64(tag << 40))))
-    return np.concatenate(out).view(np.int64)
+def _cells(u: np.ndarray) -> np.ndarray:
+    return (mix64(u ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
 class CountTree:
@@ -206,31 +199,64 @@ def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, (_, t) in enumerate(kinds)], [k for k, _ in kinds])
 
 
-def _sums(bitmap=None):
-    """doc_id and the signatures of each row; with a bitmap, those whose bit is set."""
+def count_classes(docs: DataFrame):
+    """A broadcast sketch: for each of 2^SKETCH_BITS cells, which hashes share, the binary logarithm of their number of
+    documents, in quarters. Its size does not depend on the input."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(1 << SKETCH_BITS, np.int32)
+        for batch in batches:
+            for u in shingle_sets(*utf8_parts(batch.column("text"))):
+                np.add.at(seen, _cells(u), 1)
+        blocks = seen.reshape(64, -1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(64), pa.int32()), pa.array([b.tobytes() for b in blocks])], ["block", "counts"])
+
+    def add(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros((1 << SKETCH_BITS) // 64, np.int64)
+        for part in pdf["counts"]:
+            total += np.frombuffer(part, np.int32)
+        return pd.DataFrame({"block": [key[0]], "classes": [np.minimum(4 * np.log2(total + 1), 255).astype(np.uint8).tobytes()]})
+
+    rows = docs.select("text").mapInArrow(count, "block int, counts binary").groupBy("block").applyInPandas(add, "block int, classes binary").collect()
+    classes = np.zeros((64, (1 << SKETCH_BITS) // 64), np.uint8)
+    for r in rows:
+        classes[r["block"]] = np.frombuffer(r["classes"], np.uint8)
+    return docs.sparkSession.sparkContext.broadcast(classes.tobytes())
+
+
+def _firsts(classes, bitmap=None):
+    """doc_id, n and the leading shingles with their places; with a bitmap, those whose bit is set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.frombuffer(classes.value, np.uint8)
         bits = None if bitmap is None else np.frombuffer(bitmap.value, np.uint8)
         for batch in batches:
             data, at = utf8_parts(batch.column("text"))
-            ids, sizes, parts = [], [], []
+            ids, sizes, lengths, parts, places = [], [], [], [], []
             for doc, u in zip(batch.column("doc_id").to_pylist(), shingle_sets(data, at), strict=True):
                 if doc is None or not len(u):
                     continue
-                s = signatures(u)
+                first = leading(u, counts)
+                place = np.arange(len(first), dtype=np.int32)
                 if bits is not None:
-                    s = s[bitmap_has(bits, s)]
-                if len(s):
+                    keep = bitmap_has(bits, first)
+                    first, place = first[keep], place[keep]
+                if len(first):
                     ids.append(doc)
-                    sizes.append(len(s))
-                    parts.append(s)
-            flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-            ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "sums"])
+                    sizes.append(len(u))
+                    lengths.append(len(first))
+                    parts.append(first)
+                    places.append(place)
+            ends = pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x) if x else np.zeros(0, t))) for x, t in ((parts, np.int64), (places, np.int32))]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), *lists], ["doc_id", "n", "shingles", "places"])
 
     return run
 
 
+_FIRSTS = "doc_id long, n long, shingles array<long>, places array<int>"
+
+
 def _verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of doc_ids that are linked, by the sets of their texts."""
     ids = settle(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
@@ -263,28 +289,30 @@ def similar_components(docs: DataFrame) -> DataFrame:
         c = component.select(F.col("node").alias(name), F.col("component").alias("component"))
         return of.join(c, name, "left").withColumn("component", F.coalesce("component", F.col(name)))
 
-    # sums of every different set, with the component of its document; equal sets are with their leader already
+    # leading shingles of every different set, with the component of its document; equal sets are with their leader already
+    classes = count_classes(docs)
     skip = led.groupBy("doc_id").agg(F.min("equal").alias("equal")).where("equal").select("doc_id")
-    sums = placed(component, docs.mapInArrow(_sums(), "doc_id long, sums array<long>").join(skip, "doc_id", "left_anti"))
-    first = sums.select(F.explode("sums").alias("sum"), "component").groupBy("sum").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    shared = settle(first.where("lo <> hi").select("sum"))
-    bits = bitmap_of(shared, "sum")
-    again = docs.mapInArrow(_sums(bits), "doc_id long, sums array<long>").join(skip, "doc_id", "left_anti")
-    members = settle(again.select("doc_id", F.explode("sums").alias("sum")).join(shared, "sum", "left_semi").distinct())
-
-    # a document that shares more of its sums is nearer to the middle of its group: the first to be held against
-    shares = members.groupBy("doc_id").agg(F.count("*").alias("shares"))
-    members = settle(members.join(shares, "doc_id"))
+    firsts = placed(component, docs.mapInArrow(_firsts(classes), _FIRSTS).select("doc_id", "shingles").join(skip, "doc_id", "left_anti"))
+    ends = firsts.select(F.explode("shingles").alias("shingle"), "component").groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    shared = settle(ends.where("lo <> hi").select("shingle"))
+    bits = bitmap_of(shared, "shingle")
+    again = docs.mapInArrow(_firsts(classes, bits), _FIRSTS).join(skip, "doc_id", "left_anti")
+    flat = again.select("doc_id", "n", F.explode(F.arrays_zip("shingles", "places")).alias("x")).select("doc_id", "n", F.col("x.shingles").alias("shingle"), F.col("x.places").alias("place"))
+    members = settle(flat.join(shared, "shingle", "left_semi").distinct())
+    # a document that shares more of its shingles is nearer to the middle of its group: the first to be held against
+    members = settle(members.join(members.groupBy("doc_id").agg(F.count("*").alias("shares")), "doc_id"))
+    need = F.ceil(F.lit(NUMERATOR) * (F.col("n") + F.col("na")) / (NUMERATOR + DENOMINATOR) - 1e-9)
+    may_meet = (F.col("place") <= F.col("n") - need) & (F.col("pa") <= F.col("na") - need)
     checked = None
     for whole in (False, False, True):
         now = settle(placed(component, members))
         if whole:
-            other = now.select("sum", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
-            met = now.join(other, "sum").where(F.col("ca") < F.col("component"))
+            other = now.select("shingle", F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("place").alias("pa"))
+            met = now.join(other, "shingle").where((F.col("ca") < F.col("component")) & may_meet)
         else:
-            first = now.groupBy("sum").agg(F.max(F.struct("shares", (-F.col("doc_id")).alias("least"), "component")).alias("p"))
-            other = settle(first.select("sum", (-F.col("p.least")).alias("a"), F.col("p.component").alias("ca")))
-            met = now.join(other, "sum").where(F.col("ca") != F.col("component"))
+            best = now.groupBy("shingle").agg(F.max(F.struct("shares", (-F.col("doc_id")).alias("least"), "component", "n", "place")).alias("p"))
+            other = settle(best.select("shingle", (-F.col("p.least")).alias("a"), F.col("p.component").alias("ca"), F.col("p.n").alias("na"), F.col("p.place").alias("pa")))
+            met = now.join(other, "shingle").where((F.col("ca") != F.col("component")) & may_meet)
         pairs = met.select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")

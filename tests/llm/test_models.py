@@ -106,15 +106,19 @@ def test_hub_of_copies_that_are_far_from_each_other(spark):
     assert {c for _, c in _reference(texts).values()} == {0, 1}
 
 
-def test_signatures_meet_for_every_linked_pair():
+def test_linked_sets_share_a_leading_shingle():
     rng = np.random.default_rng(2)
-    for size in (10, 11, 19, 20, 21, 57, 300, 2000):
-        for _ in range(20):
-            a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.int64).astype(np.uint64))
-            drop = rng.integers(0, max(1, size // 10) + 1)
-            b = np.unique(np.concatenate((a[drop:], rng.integers(0, 1 << 63, rng.integers(0, max(1, size // 20) + 1), dtype=np.int64).astype(np.uint64))))
-            if ngram_join.linked(ngram_join.overlap(a, b), len(a), len(b)):
-                assert set(ngram_join.signatures(a).tolist()) & set(ngram_join.signatures(b).tolist())
+    for size in (1, 2, 10, 11, 19, 20, 21, 57, 300, 2000):
+        for classes in (np.zeros(1 << ngram_join.SKETCH_BITS, np.uint8), rng.integers(0, 9, 1 << ngram_join.SKETCH_BITS).astype(np.uint8)):
+            for _ in range(20):
+                a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.int64).astype(np.uint64))
+                drop = rng.integers(0, max(1, size // 10) + 1)
+                b = np.unique(np.concatenate((a[drop:], rng.integers(0, 1 << 63, rng.integers(0, max(1, size // 20) + 1), dtype=np.int64).astype(np.uint64))))
+                both = ngram_join.overlap(a, b)
+                if both and ngram_join.linked(both, len(a), len(b)):
+                    x, y = ngram_join.leading(a, classes).tolist(), ngram_join.leading(b, classes).tolist()
+                    need = ngram_join.overlap_needed(len(a), len(b))
+                    assert any(x.index(v) <= len(a) - need and y.index(v) <= len(b) - need for v in set(x) & set(y))
 
 
 def test_empty_join(spark):
