@@ -37,8 +37,9 @@ def band_join(left: DataFrame, right: DataFrame, on: Sequence[str], start: str,
 
 
 def overlap(start_a: Column, end_a: Column, start_b: Column, end_b: Column) -> Column:
-    """Lines that two closed ranges share, 0 if none."""
-    return F.greatest(F.lit(0), F.least(end_a, end_b) - F.greatest(start_a, start_b) + 1)
+    """Lines that two closed ranges share, 0 if none; null where an end is null (greatest and least skip nulls)."""
+    known = start_a.isNotNull() & end_a.isNotNull() & start_b.isNotNull() & end_b.isNotNull()
+    return F.when(known, F.greatest(F.lit(0), F.least(end_a, end_b) - F.greatest(start_a, start_b) + 1))
 
 
 def mode_per_group(df: DataFrame, keys: Sequence[str], column: str, name: str) -> DataFrame:
