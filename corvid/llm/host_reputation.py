@@ -140,8 +140,37 @@ def judge_urls(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, s
 def op4_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality", "toxic")
-    return judge_urls(pages, labels).select("page_id", "host", "path", "rule", "verdict", "decided_by", "bad_mean", "bad_lower")
+    return judge_urls(pages, labels).select("page_id", "host", "path", "rule", "verdict", "decided_by", F.round("bad_mean", 6).alias("bad_mean"))
 
 
 QUERIES = {"op4_host_reputation": op4_host_reputation}
-ORACLES: dict[str, str] = {}
+
+
+def _weight_sql(level: str) -> str:
+    """The SQL of _weight for one level."""
+    return f"""SELECT coalesce(1 / least(greatest(((sq - 2 * p * sb + p * p * sn) / greatest(k - 1, 1) / (p * (1 - p)) - 1) / greatest(sn / greatest(k, 1)::DOUBLE - 1, 1.0::DOUBLE),
+            0.001::DOUBLE), 1 / 3::DOUBLE) - 1, 2) AS weight, coalesce(p, 0) AS pooled
+        FROM (SELECT sum(n)::DOUBLE AS sn, sum(bad)::DOUBLE AS sb, count(*) AS k, sum(bad * bad / n::DOUBLE) AS sq, (sum(bad) + 0.5::DOUBLE) / (sum(n) + 1) AS p FROM {level} WHERE n > 0)"""
+
+
+ORACLES = {
+    "op4_host_reputation": f"""
+        WITH o AS (SELECT doc_id AS page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY 1),
+        p AS (SELECT page_id, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+            coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+        h AS (SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix, count(bad) AS n, coalesce(sum(bad), 0) AS bad
+            FROM p LEFT JOIN o USING (page_id) GROUP BY host),
+        d AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY 1, 2), s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY 1),
+        hw AS ({_weight_sql("h")}), dw AS ({_weight_sql("d")}), sw AS ({_weight_sql("s")}),
+        sm AS (SELECT suffix, (bad + weight * pooled) / (n + weight) AS m FROM s, sw),
+        dm AS (SELECT domain, (bad + weight * m) / (n + weight) AS m FROM d JOIN sm USING (suffix), dw),
+        hm AS (SELECT host, (bad + weight * m) / (n + weight) AS mean, n + weight AS total FROM h JOIN dm USING (domain), hw),
+        r AS (SELECT page_id, host, path, mean, mean - {BOUND_SIGMAS}::DOUBLE * sqrt(mean * (1 - mean) / (total + 1)) > {MAX_BAD_RATE} AS bad,
+            host = 'example.com' OR host LIKE '%.example.com' AS example, host = 'com' OR host LIKE '%.com' AS com, host = 'net' OR host LIKE '%.net' AS net FROM p JOIN hm USING (host)),
+        v AS (SELECT *, CASE WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+            WHEN example AND starts_with(path, '/en/') THEN 'example.com/en/' WHEN net AND starts_with(path, '/es/') THEN 'net/es/'
+            WHEN net AND starts_with(path, '/fr/') THEN 'net/fr/' WHEN com AND starts_with(path, '/') THEN 'com/' END AS rule FROM r)
+        SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL OR bad THEN 'block' ELSE 'allow' END AS verdict,
+            CASE WHEN rule IS NULL THEN 'reputation' ELSE 'rule' END AS decided_by, round(mean, 6) AS bad_mean FROM v
+    """
+}
