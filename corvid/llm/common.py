@@ -121,6 +121,18 @@ def word_hashes(data: np.ndarray, at: np.ndarray, lower: bool = False, breaks: n
     return h, start, end, np.searchsorted(start, rel)
 
 
+# --- Arrow batches ----------------------------------------------------------------------------------------------------
+
+BATCH_ROWS = 500
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, with Arrow batches of few rows for its session: rows of this subpackage are whole texts, and a batch of them is
+    held by Spark and by Python at once."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 # --- bitmaps of fixed size --------------------------------------------------------------------------------------------
 
 BITMAP_BITS = 25

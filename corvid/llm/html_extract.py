@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm.common import join_skewed
+from corvid.llm.common import join_skewed, small_batches
 from corvid.llm.host_reputation import host_of
 from corvid.session import settle
 
@@ -225,6 +225,7 @@ def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def extract_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of each row of pages(page_id, url, html)."""
+    small_batches(pages)
     placed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     low = settle(low_nodes(placed))
     return (

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm.common import bitmap_has, bitmap_of, chunks_of, in_bitmap, mix64, utf8_parts, word_hashes
+from corvid.llm.common import bitmap_has, bitmap_of, chunks_of, in_bitmap, mix64, small_batches, utf8_parts, word_hashes
 from corvid.operators.components import connected_components
 from corvid.session import settle, shuffle_width
 
@@ -277,6 +277,7 @@ def _verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def similar_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of each row of docs(doc_id, text)."""
+    small_batches(docs)
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     keyed = docs.mapInArrow(_least_hash, "doc_id long, text string, n long, least long")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm.common import mix64, utf8_parts
+from corvid.llm.common import mix64, small_batches, utf8_parts
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_MODEL = 16 << 20
@@ -422,6 +422,7 @@ _FIELDS = "sample int, n_pieces int, log_prob double, perturbed double, log_incl
 def sample_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = K, alpha: float = ALPHA, model: str = MODEL) -> DataFrame:
     """A row for each row of docs and sampled segmentation: the key column, sample, n_pieces, log_prob, perturbed,
     log_inclusion and ids. Narrow: no shuffle."""
+    small_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(read_model(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm.common import IS_SPACE, LOWER, chunks_of, mix64, utf8_parts
+from corvid.llm.common import IS_SPACE, LOWER, chunks_of, mix64, small_batches, utf8_parts
 from corvid.session import settle
 
 ORDERS = (4, 5, 6)
@@ -116,6 +116,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicModel:
+    small_batches(docs)
     found, clean_all, toxic_all = training_rows(docs, labels, sample)
     rows = settle(found)
     counted = rows.select("text", "toxic").mapInArrow(_count, "feature long, clean long, toxic long")
