@@ -178,3 +178,12 @@ def in_bitmap(bitmap, column: str) -> Column:
         return pd.Series(bitmap_has(np.frombuffer(bitmap.value, np.uint8), values.to_numpy(np.int64)))
 
     return has(F.coalesce(F.col(column).cast("long"), F.lit(0)))
+
+
+def drop_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs without the rows whose doc_id is in gone(doc_id). Rows whose bit is not set stay without a shuffle; of the
+    others, which are mostly those that go, the join decides. A null doc_id stays."""
+    bits = bitmap_of(gone, "doc_id")
+    marked = docs.withColumn("__hit", in_bitmap(bits, "doc_id"))
+    rest = marked.where("__hit").join(gone.select("doc_id").hint("merge"), "doc_id", "left_anti")
+    return marked.where("not __hit").select(*docs.columns).unionByName(rest.select(*docs.columns))

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm.common import bitmap_has, bitmap_of, chunks_of, in_bitmap, mix64, small_batches, utf8_parts, word_hashes
+from corvid.llm.common import bitmap_has, bitmap_of, chunks_of, drop_ids, in_bitmap, mix64, small_batches, utf8_parts, word_hashes
 from corvid.operators.components import connected_components
 from corvid.session import settle, shuffle_width
 
@@ -328,7 +328,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """docs without the documents that are not the least of their component; one row of each repeated doc_id's equal rows stays as it is."""
     found = similar_components(docs.select("doc_id", "text"))
     gone = settle(found.where("component_id <> doc_id").select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return drop_ids(docs, gone)
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
