@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from corvid.session import settle
 
 
+def _by_node(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """edges joined to the least of each u. The second key makes Spark shuffle both sides for the join itself, and adaptive
+    execution can then split the partition of a hub."""
+    return edges.withColumn("h", F.xxhash64("u")).join(least.withColumn("h", F.xxhash64("u")), ["u", "h"]).drop("h")
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 50) -> DataFrame:
     """node, component (the least node of its component) of every node on an edge.
 
@@ -23,12 +29,12 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     for _ in range(max_rounds):
         # large star: every larger neighbour of a node is linked to the least of its neighbourhood
         wide = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = settle(wide.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
-        large = wide.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = wide.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        large = _by_node(wide.where("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = settle(large.where("u <> v").distinct())
         # small star: a node and its smaller neighbours are linked to the least of them
-        least = settle(large.groupBy("u").agg(F.min("v").alias("m")))
-        joined = large.join(least, "u")
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        joined = _by_node(large, least)
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         now = settle(small.where("u <> v").distinct())
         mark = now.agg(F.count("*"), F.sum(F.hash("u", "v").cast("decimal(38,0)"))).first()
