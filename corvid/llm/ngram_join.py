@@ -319,8 +319,11 @@ def similar_components(docs: DataFrame) -> DataFrame:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = settle(pairs)
         checked = pairs if checked is None else checked.unionByName(pairs)
-        links = settle(links.unionByName(_verify(docs, pairs)))
-        component = settle(connected_components(links, "a", "b"))
+        fresh = _verify(docs, pairs) if not pairs.isEmpty() else pairs
+        if fresh.isEmpty():
+            continue
+        stars = component.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        component = settle(connected_components(stars.unionByName(fresh), "a", "b"))
     return placed(component, led.select("doc_id", F.col("n").alias("n_shingles"))).withColumnRenamed("component", "component_id")
 
 
