@@ -1,6 +1,7 @@
 """N-gram Jaccard join over count vectors in an R-tree, with exact routing.
 
-A document's set is its distinct 3-word shingles, as 64-bit hashes. Hash bits deal the shingles of a set into groups; the
+A document's set is its distinct shingles of rule.width words, as 64-bit hashes; sets are linked from a Jaccard similarity of
+rule.numerator / rule.denominator. The contract of op6 is RULE: 3 words, 90/100. Hash bits deal the shingles of a set into groups; the
 counts of the groups are a point, and for two sets the summed minima of their coordinates bound the overlap from above. An
 R-tree holds points with the coordinate-wise maxima of each node: a node whose summed minima with a query lie below the
 overlap that the threshold asks for is skipped, and surviving pairs are verified on the sets themselves.
@@ -31,6 +32,7 @@ and has a null component. Rows with one doc_id count as one node. An empty table
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -48,20 +50,32 @@ LEADERS = 64
 SKETCH_BITS = 20
 
 
+class Rule(NamedTuple):
+    """Words of a shingle, and the least Jaccard similarity of linked sets."""
+
+    width: int = 3
+    numerator: int = NUMERATOR
+    denominator: int = DENOMINATOR
+
+
+RULE = Rule()
+
+
 # --- sets, points, signatures ---------------------------------------------------------------------------------------
 
 
-def shingle_sets(data: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
+def shingle_sets(data: np.ndarray, at: np.ndarray, width: int = RULE.width) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each row, lower-cased."""
     for i, j in chunks_of(at):
         h, _, _, rows = word_hashes(data, at[i : j + 1], lower=True)
         with np.errstate(over="ignore"):
-            tri = h[:-2] * np.uint64(0x9E3779B97F4A7C15) if len(h) > 2 else h[:0]
-            if len(tri):
-                tri = mix64(mix64(tri + h[1:-1]) * np.uint64(0xD6E8FEB86659FD93) + h[2:])
+            n = max(0, len(h) - width + 1)
+            grams = h[:n] * np.uint64(0x9E3779B97F4A7C15)
+            for k in range(1, width):
+                grams = mix64((grams if k == 1 else grams * np.uint64(0xD6E8FEB86659FD93)) + h[k : k + n])
             for a, b in zip(rows[:-1], rows[1:], strict=True):
-                if b - a >= 3:
-                    yield np.unique(tri[a : b - 2])
+                if b - a >= width:
+                    yield np.unique(grams[a : b - width + 1])
                 elif b > a:
                     one = np.uint64(int(b - a))
                     for x in h[a:b]:
@@ -75,8 +89,8 @@ def point_of(u: np.ndarray) -> np.ndarray:
     return np.bincount((mix64(u) & np.uint64(POINT_DIMS - 1)).astype(np.int64), minlength=POINT_DIMS).astype(np.int32)
 
 
-def linked(inter: int, a: int, b: int) -> bool:
-    return DENOMINATOR * inter >= NUMERATOR * (a + b - inter)
+def linked(inter: int, a: int, b: int, rule: Rule = RULE) -> bool:
+    return rule.denominator * inter >= rule.numerator * (a + b - inter)
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -87,14 +101,14 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
-def overlap_needed(a, b):
+def overlap_needed(a, b, rule: Rule = RULE):
     """The least overlap of linked sets of these sizes."""
-    return -((-NUMERATOR * (a + b)) // (NUMERATOR + DENOMINATOR))
+    return -((-rule.numerator * (a + b)) // (rule.numerator + rule.denominator))
 
 
-def leading(u: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def leading(u: np.ndarray, counts: np.ndarray, rule: Rule = RULE) -> np.ndarray:
     """The first shingles of a set in the order of (count class, hash), as many as a linked set may first share."""
-    keep = len(u) - (-(-NUMERATOR * len(u) // DENOMINATOR)) + 1
+    keep = len(u) - (-(-rule.numerator * len(u) // rule.denominator)) + 1
     order = np.argsort(counts[_cells(u)], kind="stable")  # u is sorted: equal classes stay in the order of hashes
     return u[order[:keep]].view(np.int64)
 
@@ -108,7 +122,8 @@ class CountTree:
 
     WIDTH = 8
 
-    def __init__(self) -> None:
+    def __init__(self, rule: Rule = RULE) -> None:
+        self.rule = rule
         self.sets: list[np.ndarray] = []
         self.names: list = []
         self.points = np.zeros((0, POINT_DIMS), np.int32)
@@ -120,13 +135,14 @@ class CountTree:
         """The first entry that is linked with u, or -1."""
         if not self.sets:
             return -1
-        n, share = len(u), NUMERATOR / (NUMERATOR + DENOMINATOR) - 1e-9
+        n, rule = len(u), self.rule
+        share = rule.numerator / (rule.numerator + rule.denominator) - 1e-9
         for node in np.flatnonzero(np.minimum(self.high, point).sum(1) >= share * (n + self.least)):
             members = self.nodes[node]
             bound = np.minimum(self.points[members], point).sum(1)
             for i, most in zip(members, bound, strict=True):
                 m = len(self.sets[i])
-                if linked(min(int(most), n, m), n, m) and linked(overlap(u, self.sets[i]), n, m):
+                if linked(min(int(most), n, m), n, m, rule) and linked(overlap(u, self.sets[i]), n, m, rule):
                     return i
         return -1
 
@@ -163,50 +179,57 @@ class CountTree:
 # --- Spark steps -----------------------------------------------------------------------------------------------------
 
 
-def _least_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, at = utf8_parts(batch.column("text"))
-        sets = [(len(u), int(mix64(u).min()) >> 1 if len(u) else 0) for u in shingle_sets(data, at)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text"), pa.array([s[0] for s in sets], pa.int64()), pa.array([s[1] for s in sets], pa.int64())],
-            ["doc_id", "text", "n", "least"],
-        )
+def _least_hash(rule: Rule):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, at = utf8_parts(batch.column("text"))
+            sets = [(len(u), int(mix64(u).min()) >> 1 if len(u) else 0) for u in shingle_sets(data, at, rule.width)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text"), pa.array([s[0] for s in sets], pa.int64()), pa.array([s[1] for s in sets], pa.int64())],
+                ["doc_id", "text", "n", "least"],
+            )
 
+    return run
 
-def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _lead(rule: Rule):
     """Rows sorted by (least, doc_id): doc_id, n, its leader or itself, and whether the sets are equal."""
-    key, tree = None, CountTree()
-    for batch in batches:
-        data, at = utf8_parts(batch.column("text"))
-        ids, keys = batch.column("doc_id").to_pylist(), batch.column("least").to_pylist()
-        rows = []
-        for doc, least, u in zip(ids, keys, shingle_sets(data, at), strict=True):
-            if least != key:
-                key, tree = least, CountTree()
-            if doc is None or not len(u):
-                rows.append((doc, len(u), doc, False))
-                continue
-            point = point_of(u)
-            found = tree.find(u, point)
-            if found < 0:
-                if len(tree.sets) < LEADERS:
-                    tree.add(doc, u, point)
-                rows.append((doc, len(u), doc, False))
-            else:
-                other = tree.sets[found]
-                rows.append((doc, len(u), tree.names[found], len(other) == len(u) and bool((other == u).all()) and doc != tree.names[found]))
-        kinds = [("doc_id", pa.int64()), ("n", pa.int64()), ("leader", pa.int64()), ("equal", pa.bool_())]
-        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, (_, t) in enumerate(kinds)], [k for k, _ in kinds])
-
-
-def count_classes(docs: DataFrame):
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, tree = None, CountTree(rule)
+        for batch in batches:
+            data, at = utf8_parts(batch.column("text"))
+            ids, keys = batch.column("doc_id").to_pylist(), batch.column("least").to_pylist()
+            rows = []
+            for doc, least, u in zip(ids, keys, shingle_sets(data, at, rule.width), strict=True):
+                if least != key:
+                    key, tree = least, CountTree(rule)
+                if doc is None or not len(u):
+                    rows.append((doc, len(u), doc, False))
+                    continue
+                point = point_of(u)
+                found = tree.find(u, point)
+                if found < 0:
+                    if len(tree.sets) < LEADERS:
+                        tree.add(doc, u, point)
+                    rows.append((doc, len(u), doc, False))
+                else:
+                    other = tree.sets[found]
+                    rows.append((doc, len(u), tree.names[found], len(other) == len(u) and bool((other == u).all()) and doc != tree.names[found]))
+            kinds = [("doc_id", pa.int64()), ("n", pa.int64()), ("leader", pa.int64()), ("equal", pa.bool_())]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, (_, t) in enumerate(kinds)], [k for k, _ in kinds])
+
+    return run
+
+
+def count_classes(docs: DataFrame, rule: Rule = RULE):
     """A broadcast sketch: for each of 2^SKETCH_BITS cells, which hashes share, the binary logarithm of their number of
     documents, in quarters. Its size does not depend on the input."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << SKETCH_BITS, np.int32)
         for batch in batches:
-            for u in shingle_sets(*utf8_parts(batch.column("text"))):
+            for u in shingle_sets(*utf8_parts(batch.column("text")), rule.width):
                 np.add.at(seen, _cells(u), 1)
         blocks = seen.reshape(64, -1)
         yield pa.RecordBatch.from_arrays([pa.array(range(64), pa.int32()), pa.array([b.tobytes() for b in blocks])], ["block", "counts"])
@@ -224,7 +247,7 @@ def count_classes(docs: DataFrame):
     return docs.sparkSession.sparkContext.broadcast(classes.tobytes())
 
 
-def _firsts(classes, bitmap=None):
+def _firsts(classes, rule: Rule, bitmap=None):
     """doc_id, n and the leading shingles with their places; with a bitmap, those whose bit is set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,10 +256,10 @@ def _firsts(classes, bitmap=None):
         for batch in batches:
             data, at = utf8_parts(batch.column("text"))
             ids, sizes, lengths, parts, places = [], [], [], [], []
-            for doc, u in zip(batch.column("doc_id").to_pylist(), shingle_sets(data, at), strict=True):
+            for doc, u in zip(batch.column("doc_id").to_pylist(), shingle_sets(data, at, rule.width), strict=True):
                 if doc is None or not len(u):
                     continue
-                first = leading(u, counts)
+                first = leading(u, counts, rule)
                 place = np.arange(len(first), dtype=np.int32)
                 if bits is not None:
                     keep = bitmap_has(bits, first)
@@ -257,7 +280,7 @@ def _firsts(classes, bitmap=None):
 _FIRSTS = "doc_id long, n long, shingles array<long>, places array<int>"
 
 
-def _verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def _verify(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) of doc_ids that are linked, by the sets of their texts."""
     ids = settle(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     chosen = bitmap_of(ids, "doc_id")
@@ -266,8 +289,8 @@ def _verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (list(shingle_sets(*utf8_parts(batch.column(c)))) for c in ("ta", "tb"))
-            ok = [bool(len(x)) and linked(min(int(np.minimum(point_of(x), point_of(y)).sum()), len(x)), len(x), len(y)) and linked(overlap(x, y), len(x), len(y)) for x, y in zip(left, right, strict=True)]
+            left, right = (list(shingle_sets(*utf8_parts(batch.column(c)), rule.width)) for c in ("ta", "tb"))
+            ok = [bool(len(x)) and linked(min(int(np.minimum(point_of(x), point_of(y)).sum()), len(x)), len(x), len(y), rule) and linked(overlap(x, y), len(x), len(y), rule) for x, y in zip(left, right, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
@@ -275,14 +298,14 @@ def _verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return settle(both.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long"))
 
 
-def similar_components(docs: DataFrame) -> DataFrame:
+def similar_components(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """doc_id, n_shingles, component_id of each row of docs(doc_id, text)."""
     small_batches(docs)
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    keyed = docs.mapInArrow(_least_hash, "doc_id long, text string, n long, least long")
+    keyed = docs.mapInArrow(_least_hash(rule), "doc_id long, text string, n long, least long")
     ranged = keyed.repartitionByRange(2 * shuffle_width(spark), "least", "doc_id").sortWithinPartitions("least", "doc_id")
-    led = settle(ranged.select("doc_id", "text", "least").mapInArrow(_lead, "doc_id long, n long, leader long, equal boolean"))
+    led = settle(ranged.select("doc_id", "text", "least").mapInArrow(_lead(rule), "doc_id long, n long, leader long, equal boolean"))
     links = led.where("leader <> doc_id").select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
     component = settle(connected_components(links, "a", "b"))
 
@@ -291,18 +314,18 @@ def similar_components(docs: DataFrame) -> DataFrame:
         return of.join(c, name, "left").withColumn("component", F.coalesce("component", F.col(name)))
 
     # leading shingles of every different set, with the component of its document; equal sets are with their leader already
-    classes = count_classes(docs)
+    classes = count_classes(docs, rule)
     skip = led.groupBy("doc_id").agg(F.min("equal").alias("equal")).where("equal").select("doc_id")
-    firsts = placed(component, docs.mapInArrow(_firsts(classes), _FIRSTS).select("doc_id", "shingles").join(skip, "doc_id", "left_anti"))
+    firsts = placed(component, docs.mapInArrow(_firsts(classes, rule), _FIRSTS).select("doc_id", "shingles").join(skip, "doc_id", "left_anti"))
     ends = firsts.select(F.explode("shingles").alias("shingle"), "component").groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     shared = settle(ends.where("lo <> hi").select("shingle"))
     bits = bitmap_of(shared, "shingle")
-    again = docs.mapInArrow(_firsts(classes, bits), _FIRSTS).join(skip, "doc_id", "left_anti")
+    again = docs.mapInArrow(_firsts(classes, rule, bits), _FIRSTS).join(skip, "doc_id", "left_anti")
     flat = again.select("doc_id", "n", F.explode(F.arrays_zip("shingles", "places")).alias("x")).select("doc_id", "n", F.col("x.shingles").alias("shingle"), F.col("x.places").alias("place"))
     members = settle(flat.join(shared, "shingle", "left_semi").distinct())
     # a document that shares more of its shingles is nearer to the middle of its group: the first to be held against
     members = settle(members.join(members.groupBy("doc_id").agg(F.count("*").alias("shares")), "doc_id"))
-    need = F.ceil(F.lit(NUMERATOR) * (F.col("n") + F.col("na")) / (NUMERATOR + DENOMINATOR) - 1e-9)
+    need = F.ceil(F.lit(rule.numerator) * (F.col("n") + F.col("na")) / (rule.numerator + rule.denominator) - 1e-9)
     may_meet = (F.col("place") <= F.col("n") - need) & (F.col("pa") <= F.col("na") - need)
     checked = None
     for whole in (False, False, True):
@@ -319,7 +342,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = settle(pairs)
         checked = pairs if checked is None else checked.unionByName(pairs)
-        fresh = _verify(docs, pairs) if not pairs.isEmpty() else pairs
+        fresh = _verify(docs, pairs, rule) if not pairs.isEmpty() else pairs
         if fresh.isEmpty():
             continue
         stars = component.select(F.col("node").alias("a"), F.col("component").alias("b"))
@@ -327,9 +350,9 @@ def similar_components(docs: DataFrame) -> DataFrame:
     return placed(component, led.select("doc_id", F.col("n").alias("n_shingles"))).withColumnRenamed("component", "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """docs without the documents that are not the least of their component; one row of each repeated doc_id's equal rows stays as it is."""
-    found = similar_components(docs.select("doc_id", "text"))
+    found = similar_components(docs.select("doc_id", "text"), rule)
     gone = settle(found.where("component_id <> doc_id").select("doc_id").distinct())
     return drop_ids(docs, gone)
 
