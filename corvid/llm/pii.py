@@ -145,7 +145,7 @@ def discover(mentions: DataFrame, rounds: int = ROUNDS, min_support: int = MIN_S
     """instance, score of the unseen instances found through good patterns; mentions(instance, kind, patterns)."""
     edges = settle(mentions.select("instance", F.explode("patterns").alias("pattern")).distinct())
     seeds = settle(mentions.where("kind is not null").select("instance", "kind").distinct().withColumn("score", F.lit(1.0)))
-    scored = seeds
+    scored, fresh = seeds, seeds.where("false")
     for _ in range(rounds):
         known = join_skewed(edges, scored, "instance", "inner")
         sizes = edges.groupBy("pattern").agg(F.count("*").alias("n"))
@@ -155,9 +155,10 @@ def discover(mentions: DataFrame, rounds: int = ROUNDS, min_support: int = MIN_S
         ).select("pattern", "kind", (F.col("mass") / (F.col("n") + 0.5)).alias("weight")).where(F.col("weight") >= min_pattern)
         good = settle(good)
         reached = join_skewed(edges, good, "pattern", "inner").groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.col("weight"))))).alias("score"))
-        fresh = reached.join(seeds.select("instance"), "instance", "left_anti").where(F.col("score") >= min_instance)
-        scored = settle(seeds.unionByName(fresh))
-    return scored.where(F.col("score") < 1.0).groupBy("instance").agg(F.max("score").alias("score"))
+        fresh = settle(reached.join(seeds.select("instance"), "instance", "left_anti").where(F.col("score") >= min_instance))
+        scored = seeds.unionByName(fresh)
+    # by the round's own rows and not by the score, which rounds to a seed's 1 for the surest
+    return fresh.groupBy("instance").agg(F.max("score").alias("score"))
 
 
 def find_pii(docs: DataFrame, keep_text: bool = False, **limits: float) -> DataFrame:
