@@ -61,21 +61,25 @@ def projection(edges: DataFrame, most: int | None = None) -> DataFrame:
     return a.join(b, "dst").where("a < b").groupBy(F.col("a").alias("src"), F.col("b").alias("dst")).agg(F.count("*").alias("weight"))
 
 
-def bfs_levels(edges: DataFrame, roots: DataFrame, most: int = 100) -> DataFrame:
-    """root, node, distance: least numbers of edges from each root; one join a level."""
+def bfs_levels(edges: DataFrame, roots: DataFrame, most: int | None = None) -> DataFrame:
+    """root, node, distance: least numbers of edges from each root; one join a level, until no new node is reached, or as
+    far as `most` where a radius is asked for."""
     links = settle(edges.select("src", "dst").distinct())
     known = settle(roots.select(F.col("node").alias("root"), "node", F.lit(0).alias("distance")))
-    front = known
-    for level in range(1, most + 1):
+    front, level = known, 0
+    while most is None or level < most:
+        level += 1
         reached = front.join(links, front["node"] == links["src"]).select("root", F.col("dst").alias("node")).distinct()
         front = settle(reached.join(known.select("root", "node"), ["root", "node"], "left_anti").withColumn("distance", F.lit(level)))
         if front.isEmpty():
             break
         known = known.unionByName(front)
+        if level % 16 == 0:  # long paths: the union of levels stays short
+            known = settle(known)
     return known
 
 
-def reach_counts(edges: DataFrame, most: int = 100) -> DataFrame:
+def reach_counts(edges: DataFrame, most: int | None = None) -> DataFrame:
     """node, descendants, ancestors: sizes of what can be reached, the node itself left out."""
     reached = settle(bfs_levels(edges, nodes_of(edges), most).where("root <> node"))
     down = reached.groupBy(F.col("root").alias("node")).agg(F.count("*").alias("descendants"))
