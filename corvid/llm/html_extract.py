@@ -9,6 +9,8 @@ headers, footers, sidebars, notices, adverts, forms, comments or scripts are nev
 `main` is never boilerplate, so that many copies of one article don't erase it. Where a host has too few pages for
 entropies, text outside a page's article is left out if the page has one.
 
+Copies of a page count once for its host: equal pages say nothing on what its pages share.
+
 The tree is never gathered: occurrences are counted for each task, host, node and value, then summed; the low nodes of a
 host, a part of its template, are joined to its pages, which are parsed a second time instead of being stored.
 
@@ -28,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm.common import join_skewed, small_batches
+from corvid.llm.common import bitmap_of, in_bitmap, join_skewed, small_batches
 from corvid.llm.host_reputation import host_of
 from corvid.session import settle
 
@@ -189,9 +191,19 @@ def _occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([(*k, c) for k, c in seen.items()], columns=["host", "node", "kind", "value", "n"])
 
 
+def distinct_pages(pages: DataFrame) -> DataFrame:
+    """host, html of each different page of a host once. Only pages whose hash occurs more than once are shuffled, one
+    of each task."""
+    keyed = pages.select("host", F.coalesce("html", F.lit("")).alias("html")).withColumn("page", F.xxhash64("host", "html"))
+    repeated = bitmap_of(settle(keyed.groupBy("page").agg(F.count("*").alias("n")).where("n > 1").select("page")), "page")
+    marked = keyed.withColumn("__again", in_bitmap(repeated, "page"))
+    once = marked.where("__again").groupBy("host", "page").agg(F.first("html").alias("html"))
+    return marked.where("not __again").select("host", "html").unionByName(once.select("host", "html"))
+
+
 def low_nodes(pages: DataFrame, min_count: int = MIN_COUNT, min_importance: float = MIN_IMPORTANCE, decay: float = DECAY) -> DataFrame:
     """host, low: the nodes of each host's tree that look alike on its pages; known: those with counts enough."""
-    counts = pages.select("host", "html").mapInPandas(_occurrences, "host string, node long, kind int, value long, n long")
+    counts = distinct_pages(pages).mapInPandas(_occurrences, "host string, node long, kind int, value long, n long")
     values = counts.groupBy("host", "node", "kind", "value").agg(F.sum("n").alias("n"))
     m = F.sum("n")
     entropy = F.when(m > 1, 1 - F.sum(F.col("n") * F.log("n")) / m / F.log(m)).otherwise(1.0)
