@@ -21,16 +21,6 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS), lambda w: w != "")
 
 
-def let_in(value: Column, body) -> Column:
-    """body(value), with value computed once even where body uses it often or inside another lambda."""
-    return F.transform(F.array(value), body)[0]
-
-
-def with_row_key(df: DataFrame, *columns: str, name: str = "row_key") -> DataFrame:
-    """A hash of the given columns beside them, so that repeated ids and null ids stay apart."""
-    return df.withColumn(name, F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns]))
-
-
 def join_skewed(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join on key plus its hash. The second key makes Spark shuffle both sides for the join itself, even where the
     right side is already grouped by key, and adaptive execution can then split the partition of a hot key."""
@@ -84,7 +74,7 @@ def utf8_parts(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return (np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)), at.astype(np.int64)
 
 
-def chunks_of(at: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def chunks_of(at: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about `most` bytes each; one longer row is a range of its own."""
     i, n = 0, len(at) - 1
     while i < n:
@@ -124,12 +114,14 @@ def word_hashes(data: np.ndarray, at: np.ndarray, lower: bool = False, breaks: n
 # --- Arrow batches ----------------------------------------------------------------------------------------------------
 
 BATCH_ROWS = 500
+BATCH_BYTES = 8 << 20
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """df, with Arrow batches of few rows for its session: rows of this subpackage are whole texts, and a batch of them is
-    held by Spark and by Python at once."""
+    """df, with Arrow batches of few rows and bytes for its session: rows of this subpackage are whole texts, and a batch of
+    them is held by Spark and by Python at once. One longer row is a batch of its own."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df
 
 
@@ -138,12 +130,12 @@ def small_batches(df: DataFrame) -> DataFrame:
 BITMAP_BITS = 25
 
 
-def _slots(values: np.ndarray) -> np.ndarray:
+def bitmap_slots(values: np.ndarray) -> np.ndarray:
     return (mix64(np.ascontiguousarray(values).view(np.uint64)) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
 
 
 def bitmap_has(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    at = _slots(values)
+    at = bitmap_slots(values)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
@@ -154,7 +146,7 @@ def bitmap_of(df: DataFrame, column: str):
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
         for pdf in batches:
-            at = _slots(pdf.iloc[:, 0].to_numpy(np.int64))
+            at = bitmap_slots(pdf.iloc[:, 0].to_numpy(np.int64))
             np.bitwise_or.at(words, at >> 3, (1 << (at & 7)).astype(np.uint8))
         blocks = words.reshape(-1, 4096)
         used = np.flatnonzero(blocks.any(1))

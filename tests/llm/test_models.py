@@ -143,25 +143,6 @@ def test_pieces_round_trip_and_repeat(spark):
     assert sentencepieces.sample_pieces(df.where("false")).count() == 0
 
 
-def test_samples_follow_the_lattice():
-    vocabulary = sentencepieces.Vocabulary(sentencepieces.read_model())
-    n = 6000
-    keys = common.mix64(np.arange(n, dtype=np.uint64))
-    first, pairs, logs = collections.Counter(), collections.Counter(), {}
-    by = collections.defaultdict(list)
-    for row, _, ids, log, *_ in sentencepieces._work(sentencepieces.Lattices(vocabulary), ["thee"] * n, keys, 2):
-        by[row].append(tuple(ids.tolist()))
-        logs[tuple(ids.tolist())] = np.exp(log)
-    for a, b in by.values():
-        assert a != b
-        first[a] += 1
-        pairs[a, b] += 1
-    for seg, count in first.most_common(3):
-        assert abs(count / n - logs[seg]) < 0.025
-    for (a, b), count in pairs.most_common(4):
-        assert abs(count / n - logs[a] * logs[b] / (1 - logs[a])) < 0.025
-
-
 def test_lcs():
     rnd = random.Random(1)
     for _ in range(50):
