@@ -3,19 +3,25 @@
 Pages of a host are merged: elements with the same chain of (tag, class) names from the root are one node of the host's
 tree. A node's presentation importance is the entropy of its child styles over the node's occurrences, its content
 importance that of its own texts, both relative to the largest entropy possible; with l child styles and a decay g they
-are combined as (1 - g^l) presentation + g^l content. Texts of nodes that look alike on all pages (low importance) are
-removed from each page of the host. Two priors settle what entropy can't: elements that by tag, role or class are menus,
-headers, footers, sidebars, notices, adverts, forms, comments or scripts are never text, and text within `article` or
-`main` is never boilerplate, so that many copies of one article don't erase it. Where a host has too few pages for
-entropies, text outside a page's article is left out if the page has one.
+are combined as (1 - g^l) presentation + g^l content. What m occurrences say is shrunk towards 1, as if PRIOR more had been
+of full importance, so that a node met a few times is judged like any other, only with less weight. Texts of nodes that
+look alike on all pages (low importance) are removed from each page of the host.
+
+Priors settle what entropy can't. Elements that by tag or role are menus, headers, footers, sidebars, forms or scripts are
+never text. Where a page has an `article` or `main`, its text is there, and headings, paragraphs, lists and tables in it
+stay whatever the tree says, so that many copies of one article don't erase it; other boxes in it are the tree's to judge.
+Class names that say so (NOISE_NAME) mark adverts, notices and comments whose texts differ from page to page, which no
+entropy can tell from an article; `names=False` does without them.
 
 Copies of a page count once for its host: equal pages say nothing on what its pages share.
 
 The tree is never gathered: occurrences are counted for each task, host, node and value, then summed; the low nodes of a
-host, a part of its template, are joined to its pages, which are parsed a second time instead of being stored.
+host, a part of its template met on many of its pages, are joined to its pages, which are parsed a second time instead of
+being stored.
 
 Nulls: a null html is an empty page, with empty text; a null url belongs to the empty host. Repeated rows give equal
-results, an empty table an empty one. Unclosed, crossed and unknown tags close as browsers close them, roughly.
+results, an empty table an empty one; other columns are ignored. A very long page is a batch of its own, parsed in one
+pass. Ties can't occur: each node is judged alone. Unclosed, crossed and unknown tags close as browsers close them, roughly.
 """
 
 from __future__ import annotations
@@ -34,7 +40,7 @@ from corvid.llm.common import bitmap_of, in_bitmap, join_skewed, small_batches
 from corvid.llm.host_reputation import host_of
 from corvid.session import settle
 
-MIN_COUNT = 8
+PRIOR = 4.0
 MIN_IMPORTANCE = 0.3
 DECAY = 0.9
 
@@ -53,6 +59,8 @@ NOISE_NAME = re.compile(
 )
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 MAIN_TAGS = frozenset(("article", "main"))
+#: Boxes without a meaning of their own; in an article they may hold what the site adds to each.
+BOXES = frozenset("div section span ul ol table center".split())
 #: An opening tag closes an open one of these, up to the nearest of the bounds.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 BOUNDS = frozenset("ul ol dl table body article main section div".split())
@@ -68,17 +76,17 @@ def _code(s: str) -> int:
 
 
 class _Node:
-    __slots__ = ("tag", "path", "noise", "main", "children", "own")
+    __slots__ = ("tag", "path", "noise", "named", "main", "children", "own")
 
-    def __init__(self, tag: str, path: str, noise: bool, main: bool):
-        self.tag, self.path, self.noise, self.main = tag, path, noise, main
+    def __init__(self, tag: str, path: str, noise: bool, named: bool, main: bool):
+        self.tag, self.path, self.noise, self.named, self.main = tag, path, noise, named, main
         self.children: list[str] = []
         self.own: list[str] = []
 
 
-def parse(page: str) -> tuple[list[tuple[str, str]], list[tuple[str, bool, str]]]:
-    """Elements outside noise as (path, child styles, own text), and blocks as (path, inside main, text) in page order."""
-    root = _Node("", "", False, False)
+def parse(page: str) -> tuple[list[tuple[str, str, str]], list[tuple[_Node, str]]]:
+    """Elements outside noise as (path, child styles, own text), and blocks as (owner, text) in page order."""
+    root = _Node("", "", False, False, False)
     stack, nodes, blocks = [root], [], []
     run: list[str] = []
     owner = root
@@ -91,7 +99,7 @@ def parse(page: str) -> tuple[list[tuple[str, str]], list[tuple[str, bool, str]]
             text = _SPACE.sub(" ", _html.unescape("".join(run))).strip(" ")
             run = []
             if text:
-                blocks.append((owner.path, owner.main, text))
+                blocks.append((owner, text))
 
     def close(upto: int) -> None:
         while len(stack) > upto:
@@ -171,9 +179,10 @@ def parse(page: str) -> tuple[list[tuple[str, str]], list[tuple[str, bool, str]]
             or name in NOISE_TAGS
             or (name == "header" and not parent.main)
             or names.get("role", "").lower() in NOISE_ROLES
-            or (name not in MAIN_TAGS and name not in ("html", "body") and any(NOISE_NAME.match(w) for w in (*words, names.get("id", "")) if w))
         )
-        stack.append(_Node(name, f"{parent.path}/{style}", noise, parent.main or name in MAIN_TAGS or names.get("role", "").lower() == "main"))
+        labels = (*words, names.get("id", ""))
+        named = parent.named or (name not in MAIN_TAGS and name not in ("html", "body") and any(NOISE_NAME.match(w) for w in labels if w))
+        stack.append(_Node(name, f"{parent.path}/{style}", noise, named, parent.main or name in MAIN_TAGS or names.get("role", "").lower() == "main"))
     flush()
     close(0)
     return nodes, blocks
@@ -201,8 +210,8 @@ def distinct_pages(pages: DataFrame) -> DataFrame:
     return marked.where("not __again").select("host", "html").unionByName(once.select("host", "html"))
 
 
-def low_nodes(pages: DataFrame, min_count: int = MIN_COUNT, min_importance: float = MIN_IMPORTANCE, decay: float = DECAY) -> DataFrame:
-    """host, low: the nodes of each host's tree that look alike on its pages; known: those with counts enough."""
+def low_nodes(pages: DataFrame, prior: float = PRIOR, min_importance: float = MIN_IMPORTANCE, decay: float = DECAY) -> DataFrame:
+    """host, low: the nodes of each host's tree that look alike on its pages."""
     counts = distinct_pages(pages).mapInPandas(_occurrences, "host string, node long, kind int, value long, n long")
     values = counts.groupBy("host", "node", "kind", "value").agg(F.sum("n").alias("n"))
     m = F.sum("n")
@@ -211,39 +220,40 @@ def low_nodes(pages: DataFrame, min_count: int = MIN_COUNT, min_importance: floa
     pick = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c)))
     share = F.pow(F.lit(decay), pick(0, "l"))
     nodes = kinds.groupBy("host", "node").agg(((1 - share) * pick(0, "importance") + share * pick(1, "importance")).alias("importance"), F.max("m").alias("m"))
-    known = nodes.where(F.col("m") >= min_count)
-    return known.groupBy("host").agg(
-        F.collect_list(F.when(F.col("importance") < min_importance, F.col("node"))).alias("low"), F.collect_list("node").alias("known")
-    )
+    shrunk = (F.col("m") * F.col("importance") + prior) / (F.col("m") + prior)
+    return nodes.where(shrunk < min_importance).groupBy("host").agg(F.collect_list("node").alias("low"))
 
 
-def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        texts = []
-        for page, low, known in zip(pdf["html"], pdf["low"], pdf["known"], strict=True):
-            blocks = parse(page or "")[1]
-            has_main = any(main for _, main, _ in blocks)
-            low, known = frozenset(() if low is None else low), frozenset(() if known is None else known)
-
-            def stays(path: str, main: bool) -> bool:
-                if main:
-                    return True
-                node = _code(path)
-                return node not in low if node in known else not has_main  # noqa: B023
+def stays(owner: _Node, low: frozenset, has_main: bool, names: bool) -> bool:
+    """Whether a block belongs to the main text."""
+    if (names and owner.named) or (has_main and not owner.main):
+        return False
+    return (owner.main and owner.tag not in BOXES) or _code(owner.path) not in low
+
+
+def _texts(names: bool):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            texts = []
+            for page, nodes in zip(pdf["html"], pdf["low"], strict=True):
+                blocks = parse(page or "")[1]
+                has_main = any(owner.main and not (names and owner.named) for owner, _ in blocks)
+                low = frozenset(() if nodes is None else nodes)
+                texts.append(" ".join(text for owner, text in blocks if stays(owner, low, has_main, names)))
+            yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts})
 
-            texts.append(" ".join(text for path, main, text in blocks if stays(path, main)))
-        yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts})
+    return run
 
 
-def extract_text(pages: DataFrame) -> DataFrame:
+def extract_text(pages: DataFrame, names: bool = True) -> DataFrame:
     """page_id, url, text, n_chars of each row of pages(page_id, url, html)."""
     small_batches(pages)
     placed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     low = settle(low_nodes(placed))
     return (
         join_skewed(placed, low, "host")
-        .select(F.col("page_id").cast("string"), "url", "html", "low", "known")  # as text: pandas has no null integers
-        .mapInPandas(_texts, "page_id string, url string, text string")
+        .select(F.col("page_id").cast("string"), "url", "html", "low")  # as text: pandas has no null integers
+        .mapInPandas(_texts(names), "page_id string, url string, text string")
         .withColumn("page_id", F.col("page_id").cast(pages.schema["page_id"].dataType))
         .withColumn("n_chars", F.length("text").cast("long"))
     )
