@@ -10,7 +10,8 @@ character after its first character, and control strings that already hold escap
 Rows of one conversation are gathered into one formatted string: that is the result, and its size is that of the
 conversation. Nulls: a null text is empty, a null role is the empty role, a null turn sorts first; a null conv_id is a
 conversation of its own. A conversation that the machine refuses is still formatted, with valid false and the position
-of the first refused turn. An empty table gives an empty result. Only DataFrame functions are used.
+of the first refused turn. Repeated rows are turns of their own; rows that tie in turn, role and text are equal. Texts of any
+length are kept whole. Other columns are ignored. An empty table gives an empty result. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -108,10 +109,12 @@ def _refused(turns: Column, template: Template) -> Column:
 def format_conversations(rows: DataFrame, template: Template = CHAT) -> DataFrame:
     """conv_id, segments, formatted, valid, refused_at of each conversation in rows(conv_id, turn, role, text)."""
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    escaped = rows.select("conv_id", turn.alias("t")).withColumn("t", F.struct("t.turn", "t.role", escape(F.col("t.text"), template).alias("text")))
+    escaped = lambda t: F.struct(t["turn"].alias("turn"), t["role"].alias("role"), escape(t["text"], template).alias("text"))
     return (
-        escaped.groupBy("conv_id")
+        rows.select("conv_id", turn.alias("t"))
+        .groupBy("conv_id")
         .agg(F.sort_array(F.collect_list("t")).alias("turns"))
+        .withColumn("turns", F.transform("turns", escaped))  # after the order, which is that of the plain texts
         .withColumn("segments", _segments(F.col("turns"), template))
         .withColumn("refused_at", _refused(F.col("turns"), template))
         .select(
