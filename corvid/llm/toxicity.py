@@ -1,7 +1,7 @@
 """Toxicity by naive-Bayes-weighted character n-grams.
 
-Features are hashed byte n-grams of the lower-cased text (orders 4 to 6, white space runs as one space), each counted once
-a text. The model is fitted to a bounded sample of the training rows: SAMPLE at most, half of them toxic where there are
+Features are hashed character n-grams of the lower-cased text (orders 4 to 6, white space runs as one space), each counted
+once a text. The model is fitted to a bounded sample of the training rows: SAMPLE at most, half of them toxic where there are
 enough, chosen by a hash of doc_id. The log-count ratios r = log((p + a) / |p|) - log((q + a) / |q|) between its toxic and
 other documents are summed on Spark; the features with the largest |r| sqrt(count) are kept, a logistic regression on
 presence times r is fitted, and its intercept is moved to the prior of all training labels. The model is a table of KEPT
@@ -9,7 +9,9 @@ weights, broadcast; scoring reads whole texts in one pass, and no text is ever s
 
 Training rows are those with crc32(doc_id as text) mod 5 not 0 and a label. Repeated labels of a document count as toxic
 if any is. Nulls: a null text is empty and scores like any text without features; a null doc_id is never labelled and is
-not held out. With no toxic or no other labels every score is the prior. Repeated rows get equal scores.
+not held out. With no toxic or no other labels every score is the prior. Repeated rows get equal scores; features that tie
+are taken by their numbers. Texts are scored whole, a very long one as a piece of work of its own. An empty table gives an
+empty result. `score_toxicity` carries all columns and replaces one named `score`.
 """
 
 from __future__ import annotations
@@ -20,10 +22,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm.common import IS_SPACE, LOWER, chunks_of, mix64, small_batches, utf8_parts
+from corvid.llm.common import IS_SPACE, chunks_of, mix64, small_batches, utf8_parts
 from corvid.session import settle
 
 ORDERS = (4, 5, 6)
@@ -35,10 +38,11 @@ SMOOTH = 0.5
 RIDGE = 1e-3
 
 
-def text_features(data: np.ndarray, at: np.ndarray, table: np.ndarray | None = None) -> Iterator[np.ndarray]:
+def text_features(column: pa.Array, table: np.ndarray | None = None) -> Iterator[np.ndarray]:
     """The distinct feature numbers of each row; with a table, table[number] where that is not negative."""
-    for i, j in chunks_of(at, 1 << 19):
-        raw = LOWER[data[at[i] : at[j]]].copy()
+    data, at = utf8_parts(pc.utf8_lower(column))
+    for i, j in chunks_of(at):
+        raw = data[at[i] : at[j]].copy()
         rel = at[i : j + 1] - at[i]
         blank = IS_SPACE[raw]
         raw[blank] = 32
@@ -47,13 +51,20 @@ def text_features(data: np.ndarray, at: np.ndarray, table: np.ndarray | None = N
         drop[:1] = False
         keep = ~drop
         moved = np.concatenate(([0], np.cumsum(keep)))
-        row_at = moved[rel]
-        text = raw[keep].astype(np.uint64)
+        raw = raw[keep]
+        # a character is the number that its bytes spell
+        head = np.flatnonzero((raw & 0xC0) != 0x80)
+        size = np.diff(np.append(head, len(raw)))
+        text = raw[head].astype(np.uint64)
+        for k in (1, 2, 3):
+            wide = np.flatnonzero(size > k)
+            text[wide] = (text[wide] << np.uint64(8)) | raw[head[wide] + k]
+        row_at = np.searchsorted(head, moved[rel])
         found = []
         with np.errstate(over="ignore"):
             h = text.copy()
             for order in range(2, max(ORDERS) + 1):
-                h = h[:-1] * np.uint64(0x100000001B3) + text[order - 1 :] if len(h) else h
+                h = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + text[order - 1 :] if len(h) else h
                 if order in ORDERS and len(h):
                     number = (mix64(h + np.uint64(order)) >> np.uint64(64 - BITS)).astype(np.int64)
                     found.append((order, number if table is None else table[number]))
@@ -73,8 +84,7 @@ class ToxicModel:
     bias: float
 
     def scores(self, column: pa.Array) -> np.ndarray:
-        data, at = utf8_parts(column)
-        z = np.array([self.weights[f].sum() for f in text_features(data, at, self.table)] or [], float) + self.bias
+        z = np.array([self.weights[f].sum() for f in text_features(column, self.table)] or [], float) + self.bias
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -106,7 +116,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     docs = np.zeros(2, np.int64)
     for batch in batches:
         labels = batch.column("toxic").to_numpy(zero_copy_only=False).astype(int).clip(0, 1)
-        for label, f in zip(labels, text_features(*utf8_parts(batch.column("text"))), strict=True):
+        for label, f in zip(labels, text_features(batch.column("text")), strict=True):
             seen[label, f] += 1
             docs[label] += 1
     at = np.flatnonzero(seen.sum(0))
@@ -115,7 +125,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicModel:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, kept: int = KEPT) -> ToxicModel:
     small_batches(docs)
     found, clean_all, toxic_all = training_rows(docs, labels, sample)
     rows = settle(found)
@@ -131,14 +141,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicModel:
     got = got[got.feature >= 0]
     p, q = got.toxic.to_numpy(float) + SMOOTH, got.clean.to_numpy(float) + SMOOTH
     ratio = np.log(p / (toxic_docs + 1)) - np.log(q / (clean_docs + 1))
-    order = np.lexsort((got.feature.to_numpy(), -np.abs(ratio) * np.sqrt(p + q)))[:KEPT]
+    order = np.lexsort((got.feature.to_numpy(), -np.abs(ratio) * np.sqrt(p + q)))[:kept]
     table = np.full(1 << BITS, -1, np.int64)
     table[got.feature.to_numpy()[order]] = np.arange(len(order))
     ratio = ratio[order]
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            f = [x.tolist() for x in text_features(*utf8_parts(batch.column("text")), table)]
+            f = [x.tolist() for x in text_features(batch.column("text"), table)]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(f, pa.list_(pa.int64()))], ["toxic", "f"])
 
     got_rows = rows.select("text", "toxic").mapInArrow(places, "toxic int, f array<long>").toPandas()  # the bounded sample
