@@ -3,8 +3,9 @@
 A document's set is its distinct shingles of rule.width words, as 64-bit hashes; sets are linked from a Jaccard similarity of
 rule.numerator / rule.denominator. The contract of op6 is RULE: 3 words, 90/100. Hash bits deal the shingles of a set into groups; the
 counts of the groups are a point, and for two sets the summed minima of their coordinates bound the overlap from above. An
-R-tree holds points with the coordinate-wise maxima of each node: a node whose summed minima with a query lie below the
-overlap that the threshold asks for is skipped, and surviving pairs are verified on the sets themselves.
+R-tree holds points with the coordinate-wise maxima of each node, in levels: a node whose summed minima with a query lie below
+the overlap that the threshold asks for is skipped with all below it, and surviving pairs are verified on the sets themselves.
+Points travel with the rows, so that pairs of step 3 meet the bound before any text is moved.
 
 One tree over all documents would be a single task and, in so many dimensions, would prune little near its root, so rows
 are routed to small trees first:
@@ -26,7 +27,9 @@ are routed to small trees first:
 No pair of one component is expanded and none between components is lost, up to 64-bit collisions of hashes.
 
 Nulls: a document without words or text has an empty set, no links and is its own component; a null doc_id is never linked
-and has a null component. Rows with one doc_id count as one node. An empty table gives an empty result.
+and has a null component. Rows with one doc_id count as one node. Ids are whole numbers. Which of equally near documents a
+row meets first changes no component. A very long text is a piece of work of its own. Other columns are ignored by
+`similar_components` and carried by `keep_one`. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -117,8 +120,18 @@ def _cells(u: np.ndarray) -> np.ndarray:
     return (mix64(u ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
+class _Box:
+    """A node: its entries (boxes, or numbers of sets in a leaf), their coordinate-wise maxima and their least sizes."""
+
+    __slots__ = ("leaf", "entries", "high", "least")
+
+    def __init__(self, leaf: bool, entries: list, high: np.ndarray, least: np.ndarray) -> None:
+        self.leaf, self.entries, self.high, self.least = leaf, entries, high, least
+
+
 class CountTree:
-    """A small R-tree over count vectors; each leaf node keeps the maxima of its points and the least size."""
+    """An R-tree over count vectors. Summed minima with the maxima of a box bound the overlap with every set below it, so
+    that a box whose bound lies under the overlap that the threshold asks for is skipped with all that it holds."""
 
     WIDTH = 8
 
@@ -126,54 +139,48 @@ class CountTree:
         self.rule = rule
         self.sets: list[np.ndarray] = []
         self.names: list = []
-        self.points = np.zeros((0, POINT_DIMS), np.int32)
-        self.nodes: list[list[int]] = []
-        self.high = np.zeros((0, POINT_DIMS), np.int32)
-        self.least = np.zeros(0)
+        self.root = _Box(True, [], np.zeros((0, POINT_DIMS), np.int32), np.zeros(0, np.int64))
 
     def find(self, u: np.ndarray, point: np.ndarray) -> int:
-        """The first entry that is linked with u, or -1."""
-        if not self.sets:
-            return -1
-        n, rule = len(u), self.rule
-        share = rule.numerator / (rule.numerator + rule.denominator) - 1e-9
-        for node in np.flatnonzero(np.minimum(self.high, point).sum(1) >= share * (n + self.least)):
-            members = self.nodes[node]
-            bound = np.minimum(self.points[members], point).sum(1)
-            for i, most in zip(members, bound, strict=True):
-                m = len(self.sets[i])
-                if linked(min(int(most), n, m), n, m, rule) and linked(overlap(u, self.sets[i]), n, m, rule):
-                    return i
+        """An entry that is linked with u, or -1."""
+        share = self.rule.numerator / (self.rule.numerator + self.rule.denominator) - 1e-9
+        stack = [self.root]
+        while stack:
+            box = stack.pop()
+            near = np.flatnonzero(np.minimum(box.high, point).sum(1) >= share * (len(u) + box.least)).tolist()
+            if not box.leaf:
+                stack += [box.entries[k] for k in near]
+                continue
+            for k in near:
+                other = self.sets[box.entries[k]]
+                if linked(overlap(u, other), len(u), len(other), self.rule):
+                    return box.entries[k]
         return -1
 
     def add(self, name, u: np.ndarray, point: np.ndarray) -> None:
-        self.points = np.vstack((self.points, point))
         self.sets.append(u)
         self.names.append(name)
-        i = len(self.sets) - 1
-        if self.nodes:
-            grown = np.maximum(self.high, point).sum(1) - self.high.sum(1)
-            node = int(grown.argmin())
-            if len(self.nodes[node]) < self.WIDTH:
-                self.nodes[node].append(i)
-                self.high[node] = np.maximum(self.high[node], point)
-                self.least[node] = min(self.least[node], len(u))
+        path, box = [], self.root
+        while not box.leaf:  # into the box that grows least
+            k = int((np.maximum(box.high, point).sum(1) - box.high.sum(1)).argmin())
+            box.high[k] = np.maximum(box.high[k], point)
+            box.least[k] = min(box.least[k], len(u))
+            path.append((box, k))
+            box = box.entries[k]
+        box.entries.append(len(self.sets) - 1)
+        box.high, box.least = np.vstack((box.high, point)), np.append(box.least, len(u))
+        while len(box.entries) > self.WIDTH:  # halves by the widest coordinate, up to the root
+            order = np.argsort(box.high[:, int(np.ptp(box.high, axis=0).argmax())], kind="stable")
+            halves = [_Box(box.leaf, [box.entries[i] for i in o], box.high[o], box.least[o]) for o in np.array_split(order, 2)]
+            high, least = np.array([x.high.max(0) for x in halves]), np.array([x.least.min() for x in halves])
+            if not path:
+                self.root = _Box(False, halves, high, least)
                 return
-            members = np.array([*self.nodes[node], i])
-            spread = self.points[members]
-            order = members[np.argsort(spread[:, int(np.ptp(spread, axis=0).argmax())], kind="stable")]
-            halves = [order[: len(order) // 2].tolist(), order[len(order) // 2 :].tolist()]
-            self.nodes[node] = halves[0]
-            self.nodes.append(halves[1])
-            self.high = np.vstack((self.high, point))
-            self.least = np.append(self.least, 0.0)
-            for at in (node, len(self.nodes) - 1):
-                self.high[at] = self.points[self.nodes[at]].max(0)
-                self.least[at] = min(len(self.sets[j]) for j in self.nodes[at])
-            return
-        self.nodes.append([i])
-        self.high = point[None, :].copy()
-        self.least = np.array([float(len(u))])
+            parent, k = path.pop()
+            parent.entries[k : k + 1] = halves
+            parent.high = np.vstack((parent.high[:k], high, parent.high[k + 1 :]))
+            parent.least = np.concatenate((parent.least[:k], least, parent.least[k + 1 :]))
+            box = parent
 
 
 # --- Spark steps -----------------------------------------------------------------------------------------------------
@@ -193,7 +200,7 @@ def _least_hash(rule: Rule):
 
 
 def _lead(rule: Rule):
-    """Rows sorted by (least, doc_id): doc_id, n, its leader or itself, and whether the sets are equal."""
+    """Rows sorted by (least, doc_id): doc_id, n, its leader or itself, whether the sets are equal, and its point."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, tree = None, CountTree(rule)
@@ -205,18 +212,18 @@ def _lead(rule: Rule):
                 if least != key:
                     key, tree = least, CountTree(rule)
                 if doc is None or not len(u):
-                    rows.append((doc, len(u), doc, False))
+                    rows.append((doc, len(u), doc, False, None))
                     continue
                 point = point_of(u)
                 found = tree.find(u, point)
                 if found < 0:
                     if len(tree.sets) < LEADERS:
                         tree.add(doc, u, point)
-                    rows.append((doc, len(u), doc, False))
+                    rows.append((doc, len(u), doc, False, point.tobytes()))
                 else:
                     other = tree.sets[found]
-                    rows.append((doc, len(u), tree.names[found], len(other) == len(u) and bool((other == u).all()) and doc != tree.names[found]))
-            kinds = [("doc_id", pa.int64()), ("n", pa.int64()), ("leader", pa.int64()), ("equal", pa.bool_())]
+                    rows.append((doc, len(u), tree.names[found], len(other) == len(u) and bool((other == u).all()) and doc != tree.names[found], point.tobytes()))
+            kinds = [("doc_id", pa.int64()), ("n", pa.int64()), ("leader", pa.int64()), ("equal", pa.bool_()), ("point", pa.binary())]
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, (_, t) in enumerate(kinds)], [k for k, _ in kinds])
 
     return run
@@ -280,8 +287,22 @@ def _firsts(classes, rule: Rule, bitmap=None):
 _FIRSTS = "doc_id long, n long, shingles array<long>, places array<int>"
 
 
-def _verify(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (a, b) of doc_ids that are linked, by the sets of their texts."""
+def within_bound(points: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b) whose summed coordinate minima reach the overlap that the threshold asks for; points(doc_id, n, point)."""
+    share = rule.numerator / (rule.numerator + rule.denominator) - 1e-9
+
+    @F.pandas_udf("boolean")
+    def reaches(pa_: pd.Series, pb: pd.Series, n: pd.Series) -> pd.Series:
+        x, y = (np.frombuffer(b"".join(c), np.int32).reshape(-1, POINT_DIMS) for c in (pa_, pb))
+        return pd.Series(np.minimum(x, y).sum(1) >= share * n.to_numpy())
+
+    ends = [points.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("point").alias(f"p{c}")) for c in "ab"]
+    return pairs.join(ends[0], "a").join(ends[1], "b").where(reaches("pa", "pb", F.col("na") + F.col("nb"))).select("a", "b").distinct()
+
+
+def _verify(docs: DataFrame, points: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b) of doc_ids that are linked, by the sets of their texts; only texts of pairs within the bound move."""
+    pairs = settle(within_bound(points, pairs, rule))
     ids = settle(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     chosen = bitmap_of(ids, "doc_id")
 
@@ -289,8 +310,8 @@ def _verify(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (list(shingle_sets(*utf8_parts(batch.column(c)), rule.width)) for c in ("ta", "tb"))
-            ok = [bool(len(x)) and linked(min(int(np.minimum(point_of(x), point_of(y)).sum()), len(x)), len(x), len(y), rule) and linked(overlap(x, y), len(x), len(y), rule) for x, y in zip(left, right, strict=True)]
+            left, right = (shingle_sets(*utf8_parts(batch.column(c)), rule.width) for c in ("ta", "tb"))
+            ok = [bool(len(x)) and linked(overlap(x, y), len(x), len(y), rule) for x, y in zip(left, right, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
@@ -305,7 +326,7 @@ def similar_components(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     keyed = docs.mapInArrow(_least_hash(rule), "doc_id long, text string, n long, least long")
     ranged = keyed.repartitionByRange(2 * shuffle_width(spark), "least", "doc_id").sortWithinPartitions("least", "doc_id")
-    led = settle(ranged.select("doc_id", "text", "least").mapInArrow(_lead(rule), "doc_id long, n long, leader long, equal boolean"))
+    led = settle(ranged.select("doc_id", "text", "least").mapInArrow(_lead(rule), "doc_id long, n long, leader long, equal boolean, point binary"))
     links = led.where("leader <> doc_id").select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
     component = settle(connected_components(links, "a", "b"))
 
@@ -342,7 +363,7 @@ def similar_components(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = settle(pairs)
         checked = pairs if checked is None else checked.unionByName(pairs)
-        fresh = _verify(docs, pairs, rule) if not pairs.isEmpty() else pairs
+        fresh = _verify(docs, led.where("point is not null"), pairs, rule) if not pairs.isEmpty() else pairs
         if fresh.isEmpty():
             continue
         stars = component.select(F.col("node").alias("a"), F.col("component").alias("b"))
