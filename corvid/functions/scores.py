@@ -31,7 +31,7 @@ def churn(added: Column, deleted: Column, loc: Column) -> Column:
     return F.least((added + deleted) / F.greatest(loc.cast("double"), F.lit(1.0)) / 10, F.lit(1.0))
 
 
-def stability(age_days: Column, churn_score: Column, commits: Column, window_days: int = 90) -> Column:
+def stability(age_days: Column, churn_score: Column, commits: Column, window_days: int = 365) -> Column:
     """In this order: no age; new and hot; neither new nor hot with few commits; churning; old and hot; else stable."""
     hot = (churn_score >= 0.5) | (commits >= 5)
     new = age_days <= 30

@@ -90,15 +90,15 @@ def call_graph_enriched(calls: DataFrame, functions: DataFrame, risk: DataFrame)
 
 
 def test_profile(tests: DataFrame, edges: DataFrame, risk: DataFrame, slow_ms: float = 2000.0) -> DataFrame:
-    """tests(repo, commit, test_id, duration_ms, markers, uses_*) with reach, flakiness and importance; maxima are those of the snapshot."""
+    """tests(repo, commit, test_id, status, duration_ms, markers, uses_*) with reach, flakiness and importance; maxima are those of the snapshot."""
     reach = edges.join(risk.select(*SNAPSHOT, "function_id", "risk_score"), [*SNAPSHOT, "function_id"], "left").groupBy(*SNAPSHOT, "test_id").agg(
         F.countDistinct("function_id").alias("functions_covered"), F.sum("coverage_ratio").alias("weighted_degree"), F.sum("risk_score").alias("risk_covered")
     )
     most = reach.groupBy(*SNAPSHOT).agg(*[F.max(c).alias(f"max_{c}") for c in ("functions_covered", "weighted_degree", "risk_covered")])
     wide = tests.join(reach, [*SNAPSHOT, "test_id"], "left").join(most, SNAPSHOT, "left")
-    mark = lambda *names: F.arrays_overlap("markers", F.array(*map(F.lit, names)))
+    mark = lambda name: F.exists("markers", lambda m: F.contains(F.lower(m), F.lit(name)))
     flag = lambda c: F.coalesce(F.col(c), F.lit(False))
-    flaky = scores.flakiness(mark("flaky"), mark("xfail", "xpass"), flag("uses_network"), flag("uses_db") | flag("uses_subprocess"), flag("uses_fs"), F.col("duration_ms") > slow_ms)
+    flaky = scores.flakiness(mark("flaky"), F.col("status").isin("xfail", "xpass"), flag("uses_network"), flag("uses_db") | flag("uses_subprocess"), flag("uses_fs"), F.col("duration_ms") > slow_ms)
     share = [R.ratio(F.col(c), F.col(f"max_{c}")) for c in ("functions_covered", "weighted_degree", "risk_covered")]
     return wide.withColumn("flakiness_score", flaky).withColumn("importance_score", scores.importance(*share)).drop("max_functions_covered", "max_weighted_degree", "max_risk_covered")
 
@@ -134,7 +134,7 @@ def subsystem_agreement(membership: DataFrame, communities: DataFrame) -> DataFr
     return rows.withColumn("agreement", 1 - R.ratio(F.col("disagreements"), F.col("modules")))
 
 
-def function_history(functions: DataFrame, hunks: DataFrame, now: Column, window_days: int = 90) -> DataFrame:
+def function_history(functions: DataFrame, hunks: DataFrame, now: Column, window_days: int = 365) -> DataFrame:
     """functions(path, function_id, start_line, end_line) with commits, authors, changed lines, churn and stability from
     hunks(path, commit_id, author, ts, start, end): each hunk counts the lines that it shares with the function."""
     f, h = functions.alias("f"), hunks.alias("h")

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvid.session import settle
+from corvid.session import settle, shuffle_width
 
 
 def weighted_edges(pairs: DataFrame, src: str, dst: str, weight: Column | None = None) -> DataFrame:
@@ -97,30 +97,40 @@ def closeness_harmonic(edges: DataFrame) -> DataFrame:
     return nodes.join(sums, "node", "left").crossJoin(F.broadcast(total)).select("node", F.coalesce(near, F.lit(0.0)).alias("closeness"), F.coalesce("harmonic", F.lit(0.0)).alias("harmonic"))
 
 
-def dag_layers(edges: DataFrame, most: int = 200) -> DataFrame:
-    """node, layer: the longest path from a node without predecessors; for acyclic edges."""
+def dag_layers(edges: DataFrame) -> DataFrame:
+    """node, layer: the longest path from a node without predecessors; for acyclic edges. Layers deeper than there are nodes
+    mean a cycle, and are an error."""
     links = settle(edges.select("src", "dst").distinct())
-    nodes = nodes_of(links)
-    layers = settle(nodes.withColumn("layer", F.lit(0)))
-    for _ in range(most):
+    nodes = settle(nodes_of(links))
+    most = nodes.count()
+    layers, moved = nodes.withColumn("layer", F.lit(0)), 0
+    while True:
         deeper = links.join(layers, F.col("src") == F.col("node")).groupBy(F.col("dst").alias("node")).agg((F.max("layer") + 1).alias("deeper"))
-        after = settle(layers.join(deeper, "node", "left").select("node", F.coalesce("deeper", F.lit(0)).alias("layer"), (F.coalesce("deeper", F.lit(0)) != F.col("layer")).alias("moved")))
-        layers = after.select("node", "layer")
+        deepest = F.coalesce("deeper", F.lit(0))
+        after = settle(layers.join(deeper, "node", "left").select("node", deepest.alias("layer"), (deepest != F.col("layer")).alias("moved")))
+        layers, moved = after.select("node", "layer"), moved + 1
         if after.where("moved").isEmpty():
             return layers
-    raise ValueError("the edges have a cycle, or paths longer than `most`")
+        if moved > most:
+            raise ValueError("the edges have a cycle")
 
 
-def pagerank(edges: DataFrame, damping: float = 0.85, rounds: int = 20) -> DataFrame:
-    """node, rank after a fixed number of power iterations; weighted, dangling mass spread evenly."""
+def pagerank(edges: DataFrame, damping: float = 0.85, rounds: int = 20, tolerance: float | None = None) -> DataFrame:
+    """node, rank after a number of power iterations; weighted, dangling mass spread evenly. With a tolerance, iterations end
+    once the ranks of all nodes move by less than nodes x tolerance together; it is an error if `rounds` don't get there."""
     out = edges.groupBy("src").agg(F.sum("weight").alias("total"))
     shares = settle(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("share")))
     nodes = settle(nodes_of(edges))
     n = nodes.count()
     sinks = settle(nodes.join(out.select(F.col("src").alias("node")), "node", "left_anti"))
-    ranks = nodes.withColumn("rank", F.lit(1.0 / n))
+    ranks, before = nodes.withColumn("rank", F.lit(1.0 / n)), None
     for _ in range(rounds):
         ranks = settle(ranks)
+        if tolerance is not None and before is not None:
+            moves = ranks.join(before.withColumnRenamed("rank", "old"), "node").agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0]
+            if (moves or 0.0) < n * tolerance:
+                return ranks
+        before = ranks
         lost = ranks.join(sinks, "node", "left_semi").agg(F.coalesce(F.sum("rank"), F.lit(0.0)).alias("lost"))
         moved = ranks.join(shares, F.col("node") == F.col("src")).groupBy("dst").agg(F.sum(F.col("rank") * F.col("share")).alias("got"))
         ranks = (
@@ -128,6 +138,8 @@ def pagerank(edges: DataFrame, damping: float = 0.85, rounds: int = 20) -> DataF
             .crossJoin(F.broadcast(lost))
             .select("node", ((1 - damping) / n + damping * (F.coalesce("got", F.lit(0.0)) + F.col("lost") / n)).alias("rank"))
         )
+    if tolerance is not None:
+        raise RuntimeError(f"ranks did not settle in {rounds} rounds")
     return ranks
 
 
@@ -147,27 +159,24 @@ def triangles(edges: DataFrame) -> DataFrame:
     return rows.withColumn("clustering", F.when(pairs > 0, 2.0 * F.col("triangles") / pairs).otherwise(0.0))
 
 
-def core_numbers(edges: DataFrame, most: int = 10_000) -> DataFrame:
-    """node, core: for each k the nodes of a degree under k are peeled off until none is left."""
+def core_numbers(edges: DataFrame) -> DataFrame:
+    """node, core: each node's value starts at its degree and becomes the largest h such that h neighbours have values of h
+    or more, until no value moves; these values are the core numbers. Neighbours are counted by value, at most the node's
+    own, before they are gathered, so that a hub holds as many entries as its value at most."""
     links = settle(both_ways(undirected_edges(edges)).select("src", "dst"))
-    done = None
-    k = 1
-    while not links.isEmpty():
-        for _ in range(most):
-            degree = settle(links.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("degree")))
-            out = settle(degree.where(F.col("degree") <= k).select("node"))
-            if out.isEmpty():
-                break
-            mine = out.withColumn("core", F.lit(k))
-            done = mine if done is None else done.unionByName(mine)
-            rest = links.join(out, links["src"] == out["node"], "left_anti").join(out.withColumnRenamed("node", "gone"), F.col("dst") == F.col("gone"), "left_anti")
-            left = settle(rest)
-            # neighbours that lost their last edge leave at the same k
-            alone = links.select(F.col("src").alias("node")).distinct().join(out, "node", "left_anti").join(left.select(F.col("src").alias("node")), "node", "left_anti")
-            done = settle(done.unionByName(alone.withColumn("core", F.lit(k))))
-            links = left
-        k += 1
-    return done if done is not None else links.select(F.col("src").alias("node"), F.lit(0).alias("core"))
+    values = settle(links.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("core")))
+    while True:
+        mine = values.select(F.col("node").alias("src"), F.col("core").alias("own"))
+        theirs = values.select(F.col("node").alias("dst"), F.col("core").alias("value"))
+        counts = links.join(theirs, "dst").join(mine, "src").groupBy("src", "own", F.least("own", "value").alias("value")).agg(F.count("*").alias("n"))
+        found = F.sort_array(F.collect_list(F.struct("value", "n")), False)  # the largest values first
+        zero = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(0).cast("long").alias("h"))
+        step = lambda acc, x: F.struct((acc["seen"] + x["n"]).alias("seen"), F.greatest(acc["h"], F.least(x["value"], acc["seen"] + x["n"])).alias("h"))
+        h = counts.groupBy("src", "own").agg(found.alias("found")).select(F.col("src").alias("node"), F.aggregate("found", zero, step)["h"].alias("core"), "own")
+        after = settle(h)
+        values = after.select("node", "core")
+        if after.where("core <> own").isEmpty():
+            return values
 
 
 def rich_club(edges: DataFrame, share: float = 0.1) -> DataFrame:
@@ -200,39 +209,71 @@ def boundary(edges: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def strong_components(edges: DataFrame, most: int = 100) -> DataFrame:
-    """node, component (its least member): colours spread forward by least node, then back within a colour, in rounds."""
+def strong_components(edges: DataFrame) -> DataFrame:
+    """node, component (its least member). Each round drops nodes that have no way in or out of what is left, as often as it
+    finds some in its first steps, then spreads colours forward by the least hash, and back within a colour: what a colour's root
+    reaches both ways is a component. Hashes cut a path at random places, so that rounds grow with the logarithm of it;
+    rounds end when no node is left, and each takes one component of every colour at least."""
     links = settle(edges.select("src", "dst").where("src <> dst").distinct())
     nodes = settle(nodes_of(edges))
     done = None
-    for _ in range(most):
-        colour = settle(nodes.withColumn("colour", F.col("node")))
+
+    def keep(part: DataFrame) -> None:
+        nonlocal done, nodes, links
+        done = part if done is None else settle(done.unionByName(part))
+        nodes = settle(nodes.join(part.select("node"), "node", "left_anti"))
+        ends = [nodes.select(F.col("node").alias(c)) for c in ("src", "dst")]
+        links = settle(links.join(ends[0], "src", "left_semi").join(ends[1], "dst", "left_semi"))
+
+    while not nodes.isEmpty():
+        for _ in range(3):
+            both = links.select(F.col("src").alias("node")).distinct().intersect(links.select(F.col("dst").alias("node")).distinct())
+            alone = settle(nodes.join(both, "node", "left_anti"))
+            if alone.isEmpty():
+                break
+            keep(alone.select("node", F.struct(F.xxhash64("node").alias("h"), "node").alias("colour")))
+        if nodes.isEmpty():
+            break
+        colour = settle(nodes.select("node", F.struct(F.xxhash64("node").alias("h"), "node").alias("colour")))
         while True:
             got = links.join(colour, F.col("src") == F.col("node")).groupBy(F.col("dst").alias("node")).agg(F.min("colour").alias("least"))
-            after = settle(colour.join(got, "node", "left").select("node", F.least("colour", F.coalesce("least", "colour")).alias("colour"), (F.coalesce("least", "colour") < F.col("colour")).alias("moved")))
+            least = F.least("colour", F.coalesce("least", "colour"))
+            after = settle(colour.join(got, "node", "left").select("node", least.alias("colour"), (least != F.col("colour")).alias("moved")))
             colour = after.select("node", "colour")
             if after.where("moved").isEmpty():
                 break
-        found = settle(colour.where("node = colour"))
-        front = found
+        found = settle(colour.where("node = colour.node"))
+        front, level = found, 0
         while True:
             back = front.join(links, F.col("node") == F.col("dst")).select(F.col("src").alias("node"), "colour").distinct()
             front = settle(back.join(colour, ["node", "colour"], "left_semi").join(found, ["node", "colour"], "left_anti"))
             if front.isEmpty():
                 break
-            found = settle(found.unionByName(front))
-        done = found if done is None else done.unionByName(found)
-        nodes = settle(nodes.join(found.select("node"), "node", "left_anti"))
-        if nodes.isEmpty():
-            return done.select("node", F.col("colour").alias("component"))
-        links = settle(links.join(nodes, F.col("src") == F.col("node"), "left_semi").join(nodes, F.col("dst") == F.col("node"), "left_semi"))
-    raise RuntimeError("strong components did not settle")
+            found, level = found.unionByName(front), level + 1
+            if level % 16 == 0:
+                found = settle(found)
+        keep(settle(found))
+    if done is None:
+        return nodes.select("node", F.col("node").alias("component"))
+    names = done.groupBy("colour").agg(F.min("node").alias("component"))
+    return done.join(names, "colour").select("node", "component")
 
 
 def edge_ranks(edges: DataFrame, share: float) -> DataFrame:
-    """The heaviest share of the edges, ties by the ends: a threshold that means the same at any size."""
-    n = max(1, int(edges.count() * share))
-    return edges.orderBy(F.desc("weight"), "src", "dst").limit(n)
+    """The heaviest share of the edges, ties by the ends: a threshold that means the same at any size. Edges are sorted in
+    ranges, and a table with a row for each range holds the edges before it, so that no task sees them all."""
+    order = [F.desc("weight"), F.col("src"), F.col("dst")]
+    ranged = edges.repartitionByRange(shuffle_width(edges.sparkSession), *order).sortWithinPartitions(*order)
+    placed = settle(ranged.withColumn("__place", F.monotonically_increasing_id()))
+    part = F.shiftright("__place", 33)
+    starts, before = [], 0
+    for r in sorted(placed.groupBy(part.alias("part")).count().collect(), key=lambda r: r["part"]):
+        starts.append((r["part"], before))
+        before += r["count"]
+    offsets = edges.sparkSession.createDataFrame(starts, "__part long, __start long")
+    numbered = placed.withColumn("__part", part).join(F.broadcast(offsets), "__part")
+    first = numbered.where(F.col("__start") + F.col("__place").bitwiseAND(F.lit((1 << 33) - 1)) < max(1, int(before * share)))
+    return first.select(*edges.columns)
 
 
 def simple_layers(edges: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corvid.session import settle
+
 
 def ratio(part: Column, whole: Column) -> Column:
     """part / whole, null where whole is 0 or null."""
@@ -17,8 +19,17 @@ def band_join(left: DataFrame, right: DataFrame, on: Sequence[str], start: str,
     """left spans joined to right points with start <= point <= coalesce(end, start) and equal `on` columns.
 
     With width > 0 both sides get the number of the band that a point falls into (a span: every band it touches), so that
-    few `on` values don't make few, large join keys. Rows of left without a point stay under how='left'.
+    few `on` values don't make few, large join keys. Rows of left without a point stay under how='left': with bands, the
+    pairs are found first and then joined to all spans by a number of each row.
     """
+    if width and how == "left":
+        rows = left.withColumn("__span", F.monotonically_increasing_id())
+        rows = settle(rows)  # a number that another run of the plan may not change
+        pairs = band_join(rows, right, on, start, end, point, width, "inner")
+        held = pairs.select(F.col("l.__span").alias("__span"), *[F.col(f"r.{c}").alias(f"__r_{c}") for c in right.columns])
+        wide = rows.join(held, "__span", "left")
+        return wide.select(F.struct(*left.columns).alias("l"), F.struct(*[F.col(f"__r_{c}").alias(c) for c in right.columns]).alias("r"))
+
     stop = F.coalesce(F.col(f"l.{end}"), F.col(f"l.{start}"))
     inside = (F.col(f"r.{point}") >= F.col(f"l.{start}")) & (F.col(f"r.{point}") <= stop)
     same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in on]
@@ -36,6 +47,17 @@ def band_join(left: DataFrame, right: DataFrame, on: Sequence[str], start: str,
     return spans.alias("l").join(points.alias("r"), cond, "inner")
 
 
+def interval_join(left: DataFrame, right: DataFrame, a: tuple[str, str], b: tuple[str, str], width: int) -> DataFrame:
+    """Pairs of rows whose closed ranges (columns a of left, b of right) meet, each pair once: both sides are dealt to the
+    bands of `width` that they touch, and a pair counts in the first band that both touch."""
+    bands = lambda c: F.explode(F.sequence(F.floor(F.col(c[0]) / width), F.floor(F.col(c[1]) / width)))
+    spans = left.where(F.col(a[0]) <= F.col(a[1])).withColumn("__band", bands(a))
+    others = right.where(F.col(b[0]) <= F.col(b[1])).withColumn("__band", bands(b))
+    first = F.floor(F.greatest(F.col(a[0]), F.col(b[0])) / width)
+    met = spans.join(others, "__band").where((F.col(a[0]) <= F.col(b[1])) & (F.col(a[1]) >= F.col(b[0])) & (F.col("__band") == first))
+    return met.drop("__band")
+
+
 def overlap(start_a: Column, end_a: Column, start_b: Column, end_b: Column) -> Column:
     """Lines that two closed ranges share, 0 if none; null where an end is null (greatest and least skip nulls)."""
     known = start_a.isNotNull() & end_a.isNotNull() & start_b.isNotNull() & end_b.isNotNull()

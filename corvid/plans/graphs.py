@@ -1,4 +1,5 @@
-"""Graph operators on graphs drawn from the star schema: trade between nations, suppliers that share parts, a key tree."""
+"""Graph operators on graphs drawn from the star schema: trade between nations, parts bought in a row, suppliers that share
+parts, a key tree. All read their tables whole."""
 
 from __future__ import annotations
 
@@ -22,21 +23,18 @@ def _trade(spark, d) -> DataFrame:
     return G.weighted_edges(joined.withColumns({"a": F.col("c_nationkey").cast("long"), "b": F.col("s_nationkey").cast("long")}), "a", "b")
 
 
-def _busy(spark, d) -> DataFrame:
-    """The heaviest tenth of the trade edges."""
-    return G.edge_ranks(_trade(spark, d), 0.1)
-
-
 def _tree(spark, d) -> DataFrame:
     """All part keys, each below its half; key 0 is the root, with no edge of its own."""
     part = _t(spark, d, "part")
     return part.where("p_partkey > 0").select(F.floor(F.col("p_partkey") / 2).alias("src"), F.col("p_partkey").alias("dst"), F.lit(1).cast("long").alias("weight"))
 
 
-def _shared(spark, d) -> DataFrame:
-    """Suppliers that share parts; the heaviest 3 % of the pairs."""
-    pairs = G.weighted_edges(_t(spark, d, "lineitem").where("l_quantity >= 40"), "l_suppkey", "l_partkey")
-    return G.edge_ranks(G.projection(pairs), 0.03)
+def _follow(spark, d) -> DataFrame:
+    """Parts bought in a row: from each line's part to that of the next line number of its order."""
+    lines = _t(spark, d, "lineitem")
+    a = lines.select("l_orderkey", F.col("l_linenumber").alias("n"), F.col("l_partkey").cast("long").alias("src"))
+    b = lines.select("l_orderkey", (F.col("l_linenumber") - 1).alias("n"), F.col("l_partkey").cast("long").alias("dst"))
+    return G.undirected_edges(G.weighted_edges(a.join(b, ["l_orderkey", "n"]), "src", "dst"))
 
 
 def graph_edges(spark, d) -> DataFrame:
@@ -44,20 +42,20 @@ def graph_edges(spark, d) -> DataFrame:
 
 
 def neighbor_stats(spark, d) -> DataFrame:
-    return G.neighbor_stats(_busy(spark, d))
+    return G.neighbor_stats(_trade(spark, d))
 
 
 def bipartite_degrees(spark, d) -> DataFrame:
-    pairs = G.weighted_edges(_t(spark, d, "lineitem").where("l_quantity >= 50"), "l_suppkey", "l_partkey")
+    pairs = G.weighted_edges(_t(spark, d, "lineitem"), "l_suppkey", "l_partkey")
     return G.bipartite_degrees(pairs).withColumn("centrality", F.round("centrality", 6))
 
 
 def projection_edges(spark, d) -> DataFrame:
-    return G.projection(G.weighted_edges(_t(spark, d, "lineitem").where("l_quantity >= 40"), "l_suppkey", "l_partkey"))
+    return G.projection(G.weighted_edges(_t(spark, d, "lineitem"), "l_suppkey", "l_partkey"))
 
 
 def components(spark, d) -> DataFrame:
-    return connected_components(_shared(spark, d))
+    return connected_components(projection_edges(spark, d))
 
 
 def bfs_levels(spark, d) -> DataFrame:
@@ -78,11 +76,11 @@ def dag_layers(spark, d) -> DataFrame:
 
 
 def triangles_clustering(spark, d) -> DataFrame:
-    return G.triangles(_shared(spark, d)).withColumn("clustering", F.round("clustering", 6))
+    return G.triangles(_follow(spark, d)).withColumn("clustering", F.round("clustering", 6))
 
 
 def closeness_harmonic(spark, d) -> DataFrame:
-    out = G.closeness_harmonic(_busy(spark, d))
+    out = G.closeness_harmonic(_trade(spark, d))
     return out.select("node", F.round("closeness", 6).alias("closeness"), F.round("harmonic", 6).alias("harmonic"))
 
 
@@ -91,11 +89,11 @@ def pagerank_fixed(spark, d) -> DataFrame:
 
 
 def kcore(spark, d) -> DataFrame:
-    return G.core_numbers(_shared(spark, d))
+    return G.core_numbers(_follow(spark, d))
 
 
 def rich_club(spark, d) -> DataFrame:
-    return G.rich_club(_shared(spark, d))
+    return G.rich_club(_follow(spark, d))
 
 
 def quotient_graph(spark, d) -> DataFrame:
@@ -105,20 +103,20 @@ def quotient_graph(spark, d) -> DataFrame:
 
 def edge_boundary(spark, d) -> DataFrame:
     labels = _t(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("node"), F.col("n_regionkey").alias("label"))
-    return G.boundary(_busy(spark, d), labels)
+    return G.boundary(_trade(spark, d), labels)
 
 
 def strong_components(spark, d) -> DataFrame:
-    return G.strong_components(_busy(spark, d))
+    return G.strong_components(_trade(spark, d))
 
 
 def condensation_layers(spark, d) -> DataFrame:
-    return G.simple_layers(_busy(spark, d))
+    return G.simple_layers(_trade(spark, d))
 
 
 def hub_findings(spark, d) -> DataFrame:
     """Nodes of a degree of max(10, n/10) or more, and nodes without an edge, as findings."""
-    edges, nation = _busy(spark, d), _t(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("node"))
+    edges, nation = _trade(spark, d), _t(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("node"))
     stats = G.neighbor_stats(edges)
     least = stats.agg(F.greatest(F.lit(10), F.floor(F.count("*") * 0.1)).alias("least"))
     hubs = stats.crossJoin(F.broadcast(least)).where("out_degree + in_degree >= least").select(F.lit("hub").alias("rule"), "node")
@@ -126,17 +124,21 @@ def hub_findings(spark, d) -> DataFrame:
 
 
 def betweenness(spark, d) -> DataFrame:
-    return K.betweenness(_busy(spark, d)).select("node", F.round("betweenness", 8).alias("betweenness"))
+    return K.betweenness(_trade(spark, d)).select("node", F.round("betweenness", 8).alias("betweenness"))
+
+
+def _by_component(edges: DataFrame) -> DataFrame:
+    """edges with the component that each lies in: no label and no path leaves it."""
+    parts = connected_components(edges).select(F.col("node").alias("src"), F.col("component").cast("string").alias("graph"))
+    return edges.join(parts, "src")
 
 
 def label_propagation(spark, d) -> DataFrame:
-    edges = G.undirected_edges(_shared(spark, d)).withColumn("graph", F.lit("suppliers"))
-    return K.label_propagation(edges)
+    return K.label_propagation(_by_component(_follow(spark, d)))
 
 
 def articulation_bridges(spark, d) -> DataFrame:
-    edges = G.undirected_edges(_shared(spark, d)).withColumn("graph", F.lit("suppliers"))
-    return K.articulation(edges)
+    return K.articulation(_by_component(_follow(spark, d)))
 
 
 def dominance(spark, d) -> DataFrame:
@@ -159,17 +161,18 @@ QUERIES = {
 
 _TRADE = """trade AS (SELECT CAST(c_nationkey AS BIGINT) AS src, CAST(s_nationkey AS BIGINT) AS dst, count(*) AS weight FROM lineitem JOIN orders ON l_orderkey = o_orderkey
     JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2)"""
-_BUSY = _TRADE + """, busy AS (SELECT * FROM trade ORDER BY weight DESC, src, dst LIMIT (SELECT greatest(1, CAST(floor(count(*) * 0.1::DOUBLE) AS BIGINT)) FROM trade))"""
-_PROJ = """pairs AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS p FROM lineitem WHERE l_quantity >= 40),
+_BUSY = _TRADE + ", busy AS (SELECT * FROM trade)"
+_PROJ = """pairs AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS p FROM lineitem),
     proj AS (SELECT a.s AS src, b.s AS dst, count(*) AS weight FROM pairs a JOIN pairs b ON a.p = b.p AND a.s < b.s GROUP BY 1, 2)"""
-_SHARED = _PROJ + """, shared AS (SELECT * FROM proj ORDER BY weight DESC, src, dst LIMIT (SELECT greatest(1, CAST(floor(count(*) * 0.03::DOUBLE) AS BIGINT)) FROM proj))"""
-_TREE = "tree AS (SELECT p_partkey // 2 AS src, p_partkey AS dst FROM part WHERE p_partkey BETWEEN 1 AND 500)"
+_SHARED = """follow AS (SELECT least(a.l_partkey, b.l_partkey) AS src, greatest(a.l_partkey, b.l_partkey) AS dst FROM lineitem a JOIN lineitem b
+    ON a.l_orderkey = b.l_orderkey AND a.l_linenumber + 1 = b.l_linenumber WHERE a.l_partkey <> b.l_partkey), shared AS (SELECT src, dst, count(*) AS weight FROM follow GROUP BY 1, 2)"""
+_TREE = "tree AS (SELECT p_partkey // 2 AS src, p_partkey AS dst FROM part WHERE p_partkey > 0)"
 _WAYS = "ways AS (SELECT src, dst FROM shared UNION ALL SELECT dst, src FROM shared)"
 _RANK = "SELECT n.node, 0.15::DOUBLE / c + 0.85::DOUBLE * (coalesce(g, 0) + coalesce(lost, 0) / c) AS rank FROM n CROSS JOIN (SELECT count(*) AS c FROM n)"
 
 
 def _rank_step(k: int) -> str:
-    return f"""r{k} AS ({_RANK} LEFT JOIN (SELECT dst, sum(rank * share) AS g FROM r{k - 1} JOIN shares ON node = src GROUP BY 1) ON dst = n.node
+    return f"""r{k} AS MATERIALIZED ({_RANK} LEFT JOIN (SELECT dst, sum(rank * share) AS g FROM r{k - 1} JOIN shares ON node = src GROUP BY 1) ON dst = n.node
         CROSS JOIN (SELECT sum(rank) FILTER (WHERE node NOT IN (SELECT src FROM trade)) AS lost FROM r{k - 1}))"""
 
 
@@ -179,18 +182,18 @@ ORACLES = {
         i AS (SELECT dst AS node, count(DISTINCT src) AS d, sum(weight) AS w FROM busy GROUP BY 1)
         SELECT coalesce(o.node, i.node) AS node, coalesce(o.d, 0) AS out_degree, coalesce(i.d, 0) AS in_degree,
             CAST(coalesce(o.w, 0) AS BIGINT) AS out_weight, CAST(coalesce(i.w, 0) AS BIGINT) AS in_weight FROM o FULL JOIN i ON o.node = i.node""",
-    "bipartite_degrees": """WITH e AS (SELECT l_suppkey AS s, l_partkey AS p, count(*) AS w FROM lineitem WHERE l_quantity >= 50 GROUP BY 1, 2)
+    "bipartite_degrees": """WITH e AS (SELECT l_suppkey AS s, l_partkey AS p, count(*) AS w FROM lineitem GROUP BY 1, 2)
         SELECT 'left' AS side, s AS node, count(*) AS degree, CAST(sum(w) AS BIGINT) AS weighted_degree, round(count(*) / (SELECT count(DISTINCT p) FROM e)::DOUBLE, 6) AS centrality FROM e GROUP BY s
         UNION ALL SELECT 'right', p, count(*), CAST(sum(w) AS BIGINT), round(count(*) / (SELECT count(DISTINCT s) FROM e)::DOUBLE, 6) FROM e GROUP BY p""",
     "projection_edges": f"WITH {_PROJ} SELECT * FROM proj",
-    "components": f"""WITH RECURSIVE {_SHARED}, {_WAYS}, r AS (SELECT src AS node, src AS root FROM ways UNION SELECT ways.dst, root FROM r JOIN ways ON ways.src = node)
+    "components": f"""WITH RECURSIVE {_PROJ}, ways AS (SELECT src, dst FROM proj UNION ALL SELECT dst, src FROM proj), r AS (SELECT src AS node, src AS root FROM ways UNION SELECT ways.dst, root FROM r JOIN ways ON ways.src = node)
         SELECT node, min(root) AS component FROM r GROUP BY 1""",
     "bfs_levels": f"""WITH RECURSIVE {_TREE}, r AS (SELECT range AS root, range AS node, 0 AS distance FROM range(1, 4)
         UNION SELECT root, dst, distance + 1 FROM r JOIN tree ON src = node) SELECT root, node, min(distance) AS distance FROM r GROUP BY 1, 2""",
     "reach_counts": f"""WITH RECURSIVE {_TREE}, n AS (SELECT src AS node FROM tree UNION SELECT dst FROM tree),
         r AS (SELECT node AS root, node FROM n UNION SELECT root, dst FROM r JOIN tree ON src = r.node)
-        SELECT n.node, (SELECT count(*) FROM r WHERE r.root = n.node AND r.node <> n.node) AS descendants,
-            (SELECT count(*) FROM r WHERE r.node = n.node AND r.root <> n.node) AS ancestors FROM n""",
+        SELECT n.node, coalesce(d, 0) AS descendants, coalesce(a, 0) AS ancestors FROM n LEFT JOIN (SELECT root, count(*) AS d FROM r WHERE root <> node GROUP BY 1) x ON x.root = n.node
+            LEFT JOIN (SELECT node, count(*) AS a FROM r WHERE root <> node GROUP BY 1) y ON y.node = n.node""",
     "ego_radius": f"""WITH RECURSIVE {_TREE}, r AS (SELECT 5::BIGINT AS node, 0 AS distance UNION SELECT dst, distance + 1 FROM r JOIN tree ON src = node WHERE distance < 3)
         SELECT node, min(distance) AS distance FROM r GROUP BY 1 ORDER BY 2, 1 LIMIT 10""",
     "dag_layers": f"""WITH RECURSIVE {_TREE}, r AS (SELECT src AS node, 0 AS layer FROM tree WHERE src NOT IN (SELECT dst FROM tree)
@@ -205,8 +208,8 @@ ORACLES = {
         SELECT n.node, round(coalesce(r / d::DOUBLE * (r / ((SELECT count(*) FROM n) - 1)::DOUBLE), 0), 6) AS closeness, round(coalesce(h, 0), 6) AS harmonic FROM n LEFT JOIN g USING (node)""",
     "pagerank_fixed": f"""WITH {_TRADE}, n AS (SELECT src AS node FROM trade UNION SELECT dst FROM trade),
         shares AS (SELECT src, dst, weight / sum(weight) OVER (PARTITION BY src)::DOUBLE AS share FROM trade),
-        r0 AS (SELECT node, 1 / (SELECT count(*) FROM n)::DOUBLE AS rank FROM n), {_rank_step(1)}, {_rank_step(2)}, {_rank_step(3)}
-        SELECT node, round(rank, 8) AS rank FROM r3""",
+        r0 AS (SELECT node, 1 / (SELECT count(*) FROM n)::DOUBLE AS rank FROM n), {", ".join(map(_rank_step, range(1, 21)))}
+        SELECT node, round(rank, 8) AS rank FROM r20""",
     "rich_club": f"""WITH {_SHARED}, {_WAYS}, deg AS (SELECT src AS node, count(*) AS degree FROM ways GROUP BY 1)
         SELECT node, degree, degree >= (SELECT degree FROM deg ORDER BY degree DESC LIMIT 1
             OFFSET (SELECT greatest(0, CAST(floor(count(*) * 0.1::DOUBLE) AS BIGINT) - 1) FROM deg)) AS rich FROM deg""",

@@ -56,7 +56,7 @@ def interval_overlap(spark, d) -> DataFrame:
     lines, part = _t(spark, d, "lineitem", "part")
     a = lines.groupBy("l_suppkey").agg(F.min("l_partkey").alias("a0"), (F.min("l_partkey") + F.max("l_linenumber") * 40).alias("a1"))
     b = part.groupBy("p_brand").agg(F.min("p_partkey").alias("b0"), (F.min("p_partkey") + 100).alias("b1"))
-    met = a.join(b, (F.col("a0") <= F.col("b1")) & (F.col("a1") >= F.col("b0")))
+    met = R.interval_join(a, b, ("a0", "a1"), ("b0", "b1"), 500)
     return met.groupBy("l_suppkey").agg(F.sum(R.overlap(F.col("a0"), F.col("a1"), F.col("b0"), F.col("b1"))).cast("long").alias("overlap_lines"))
 
 
@@ -137,12 +137,14 @@ def pivot_buckets(spark, d) -> DataFrame:
 def two_level_rollup(spark, d) -> DataFrame:
     lines, orders = _t(spark, d, "lineitem", "orders")
     per_order = lines.groupBy("l_orderkey").agg(
-        F.count("*").alias("n_lines"), F.max("l_discount").alias("worst"), F.avg("l_quantity").alias("mean_quantity"),
+        F.count("*").alias("n_lines"), F.max("l_discount").alias("worst"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity"),
         F.max(F.when(F.col("l_returnflag") == "R", F.col("l_quantity"))).alias("max_returned"),
     )
+    # exact sums, divided once: means of means would depend on the order of rows
+    mean = R.ratio(F.sum("quantity").cast("double"), F.sum("n_lines").cast("double"))
     return orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left").groupBy("o_custkey").agg(
         F.count("*").alias("n_orders"), F.coalesce(F.sum("n_lines"), F.lit(0)).alias("n_lines"), F.max("worst").alias("worst"),
-        F.round(F.avg("mean_quantity"), 4).alias("mean_quantity"), F.max("max_returned").alias("max_returned"),
+        F.round(mean, 6).alias("mean_quantity"), F.max("max_returned").alias("max_returned"),
     )
 
 
@@ -157,7 +159,7 @@ def having_groups(spark, d) -> DataFrame:
 
 
 def ordered_struct_list(spark, d) -> DataFrame:
-    lines = _t(spark, d, "lineitem").where("l_quantity >= 45").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("q"))
+    lines = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("q"))
     lists = R.ordered_structs(lines, ["l_orderkey"], ["l_linenumber", "l_partkey", "q"], "lines")
     text = F.array_join(F.transform("lines", lambda x: F.concat_ws(":", x["l_linenumber"].cast("string"), x["l_partkey"].cast("string"), x["q"].cast("string"))), ",")
     orders = _t(spark, d, "orders").select("o_orderkey")
@@ -255,7 +257,13 @@ def risk_tally(spark, d) -> DataFrame:
 def dependency_rollup(spark, d) -> DataFrame:
     lines = _t(spark, d, "lineitem")
     mode = F.when(F.col("l_returnflag") == "R", "write").when(F.col("l_returnflag") == "A", "read").otherwise("unknown")
-    per = lines.groupBy("l_suppkey").agg(F.countDistinct("l_orderkey").alias("functions"), F.countDistinct("l_partkey").alias("modules"), F.count("*").alias("calls"), F.array_join(F.array_sort(F.collect_set(mode)), ",").alias("modes"))
+    # one row for each (supplier, order) and (supplier, part) first: several distinct counts at once would repeat every line
+    key = ["l_suppkey"]
+    functions = lines.groupBy(*key, "l_orderkey").agg(F.count("*").alias("n"), F.collect_set(mode).alias("m")).groupBy(*key).agg(
+        F.count("*").alias("functions"), F.sum("n").alias("calls"), F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("m")))), ",").alias("modes")
+    )
+    modules = lines.groupBy(*key, "l_partkey").agg(F.lit(1)).groupBy(*key).agg(F.count("*").alias("modules"))
+    per = functions.join(modules, key).select(*key, "functions", "modules", "calls", "modes")
     worst = F.when(F.contains(F.col("modes"), F.lit("write")), "write").otherwise("read")
     return per.withColumn("risk_level", scores.dependency_risk(F.lit(None).cast("string"), worst, F.col("calls")))
 
@@ -350,18 +358,18 @@ ORACLES = {
             CAST(sum(CASE WHEN o_orderpriority = '5-LOW' THEN 1 ELSE 0 END) AS BIGINT) AS n_low
         FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""",
     "two_level_rollup": """
-        WITH l AS (SELECT l_orderkey, count(*) AS n_lines, max(l_discount) AS worst, avg(l_quantity) AS mq,
+        WITH l AS (SELECT l_orderkey, count(*) AS n_lines, max(l_discount) AS worst, sum(CAST(l_quantity AS DECIMAL(18,2))) AS q,
             max(l_quantity) FILTER (WHERE l_returnflag = 'R') AS mr FROM lineitem GROUP BY 1)
         SELECT o_custkey, count(*) AS n_orders, CAST(coalesce(sum(n_lines), 0) AS BIGINT) AS n_lines, max(worst) AS worst,
-            round(avg(mq), 4) AS mean_quantity, max(mr) AS max_returned FROM orders LEFT JOIN l ON l_orderkey = o_orderkey GROUP BY 1""",
+            round(CAST(sum(q) AS DOUBLE) / CAST(sum(n_lines) AS DOUBLE), 6) AS mean_quantity, max(mr) AS max_returned FROM orders LEFT JOIN l ON l_orderkey = o_orderkey GROUP BY 1""",
     "share_of_total": """
         WITH p AS (SELECT l_suppkey, l_partkey, sum(l_extendedprice) AS a FROM lineitem GROUP BY 1, 2), t AS (SELECT l_suppkey, sum(a) AS s FROM p GROUP BY 1)
         SELECT l_suppkey, l_partkey, round(a, 2) AS amount, round(a / s, 6) AS share, a / s >= 0.4 AS is_primary FROM p JOIN t USING (l_suppkey)""",
     "having_groups": "SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1 HAVING count(*) > 2",
     "ordered_struct_list": """
-        SELECT o_orderkey, coalesce(string_agg(concat_ws(':', l_linenumber, l_partkey, CAST(l_quantity AS BIGINT)), ','
+        SELECT o_orderkey, coalesce(string_agg(CASE WHEN l_orderkey IS NOT NULL THEN concat_ws(':', l_linenumber, l_partkey, CAST(l_quantity AS BIGINT)) END, ','
             ORDER BY l_linenumber, l_partkey, CAST(l_quantity AS BIGINT)), '') AS lines
-        FROM orders LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity >= 45) ON l_orderkey = o_orderkey GROUP BY 1""",
+        FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1""",
     "latest_state": """
         SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1""",
     "change_diff": """
