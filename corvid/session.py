@@ -27,9 +27,12 @@ def build_session(app: str = "corvid", master: str | None = None, **conf: str) -
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir; a temporary one only where none is named (tests)."""
+    """The shared folder named in spark.checkpoint.dir; a temporary one where none is named on a single machine. On a cluster
+    the executors could not see that, and it is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = "file://" + os.path.join(tempfile.gettempdir(), f"corvid-{os.getpid()}")
     return named.rstrip("/")
 
