@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each result as Parquet in the shared folder
 and reads it again as the next one's docs. All but the last return the columns of `documents`.
+
+A null or empty text is scored, kept and encoded as an empty one. A row with a null doc_id is carried through: it belongs to no
+group of copies and is not dropped as one, nor as a leak. Repeated rows share one verdict; of a group of copies the least
+doc_id stays, with all its rows. Very long texts are worked on whole. Other columns are carried until the last stage, which
+returns the doc_id and its segmentations. An empty table gives an empty result.
 """
 
 from __future__ import annotations
