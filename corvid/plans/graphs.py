@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corvid.operators import graph as G
 from corvid.operators import kernels as K
+from corvid.operators import structure as T
 from corvid.operators.components import connected_components
 
 
@@ -138,7 +139,17 @@ def label_propagation(spark, d) -> DataFrame:
 
 
 def articulation_bridges(spark, d) -> DataFrame:
-    return K.articulation(_by_component(_follow(spark, d)))
+    return T.cut_nodes(_follow(spark, d))
+
+
+def structural_holes(spark, d) -> DataFrame:
+    found = T.structural_holes(_follow(spark, d))
+    return found.select("node", *(F.round(c, 6).alias(c) for c in ("hole_constraint", "effective_size")))
+
+
+def betweenness_sampled(spark, d) -> DataFrame:
+    """Ten nations as sources, by joins."""
+    return T.path_betweenness(_trade(spark, d), sample=10, seed=7).select("node", F.round("betweenness", 8).alias("betweenness"))
 
 
 def dominance(spark, d) -> DataFrame:
@@ -155,7 +166,7 @@ QUERIES = {
     for f in (
         graph_edges, neighbor_stats, bipartite_degrees, projection_edges, components, bfs_levels, reach_counts, ego_radius, dag_layers, triangles_clustering,
         closeness_harmonic, pagerank_fixed, kcore, rich_club, quotient_graph, edge_boundary, strong_components, condensation_layers, hub_findings, betweenness,
-        label_propagation, articulation_bridges, dominance,
+        label_propagation, articulation_bridges, dominance, structural_holes, betweenness_sampled,
     )
 }
 
@@ -213,6 +224,12 @@ ORACLES = {
     "rich_club": f"""WITH {_SHARED}, {_WAYS}, deg AS (SELECT src AS node, count(*) AS degree FROM ways GROUP BY 1)
         SELECT node, degree, degree >= (SELECT degree FROM deg ORDER BY degree DESC LIMIT 1
             OFFSET (SELECT greatest(0, CAST(floor(count(*) * 0.1::DOUBLE) AS BIGINT) - 1) FROM deg)) AS rich FROM deg""",
+    "structural_holes": f"""WITH {_SHARED}, ways AS (SELECT src, dst, weight FROM shared UNION ALL SELECT dst, src, weight FROM shared),
+        s AS (SELECT src AS node, sum(weight)::DOUBLE AS total, max(weight)::DOUBLE AS most, count(*) AS degree FROM ways GROUP BY 1),
+        g AS (SELECT x.src AS v, z.dst AS n, sum(x.weight / a.total * z.weight / b.total) AS indirect, sum(x.weight / a.total * z.weight / c.most) AS spare
+            FROM ways x JOIN ways z ON x.dst = z.src JOIN ways y ON y.src = x.src AND y.dst = z.dst JOIN s a ON a.node = x.src JOIN s b ON b.node = x.dst JOIN s c ON c.node = z.dst GROUP BY 1, 2)
+        SELECT e.src AS node, round(sum(power(e.weight / s.total + coalesce(indirect, 0), 2)), 6) AS hole_constraint, round(max(degree) - sum(coalesce(spare, 0)), 6) AS effective_size
+        FROM ways e JOIN s ON s.node = e.src LEFT JOIN g ON v = e.src AND n = e.dst GROUP BY 1""",
     "quotient_graph": f"""WITH {_TRADE} SELECT a.n_regionkey AS src, b.n_regionkey AS dst, CAST(sum(weight) AS BIGINT) AS weight
         FROM trade JOIN nation a ON a.n_nationkey = src JOIN nation b ON b.n_nationkey = dst WHERE a.n_regionkey <> b.n_regionkey GROUP BY 1, 2""",
     "edge_boundary": f"""WITH {_BUSY}, j AS (SELECT a.n_regionkey AS a, b.n_regionkey AS b, weight FROM busy JOIN nation a ON a.n_nationkey = src JOIN nation b ON b.n_nationkey = dst),
