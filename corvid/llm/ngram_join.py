@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm.common import bitmap_has, bitmap_of, chunks_of, drop_ids, in_bitmap, mix64, small_batches, utf8_parts, word_hashes
+from corvid.llm.common import bitmap_has, bitmap_of, chunks_of, drop_ids, in_bitmap, join_skewed, mix64, small_batches, utf8_parts, word_hashes
 from corvid.operators.components import connected_components
 from corvid.session import settle, shuffle_width
 
@@ -319,6 +319,21 @@ def _verify(docs: DataFrame, points: DataFrame, pairs: DataFrame, rule: Rule) ->
     return settle(both.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long"))
 
 
+def _placed(component: DataFrame, of: DataFrame, name: str = "doc_id", to: str = "component") -> DataFrame:
+    """of with the component of the node in column name: the node itself where it has no link yet."""
+    c = component.select(F.col("node").alias(name), F.col("component").alias(to))
+    return of.join(c, name, "left").withColumn(to, F.coalesce(to, F.col(name)))
+
+
+def _merged(component: DataFrame, links: DataFrame) -> DataFrame:
+    """component(node, component) after the links (a, b): only the components that they touch are joined anew."""
+    ends = _placed(component, _placed(component, links, "a", "ca"), "b", "cb")
+    joined = settle(connected_components(ends.select("ca", "cb"), "ca", "cb"))
+    moved = join_skewed(component, joined.select(F.col("node").alias("component"), F.col("component").alias("to")), "component")
+    alone = joined.join(component.select("node"), "node", "left_anti")
+    return moved.select("node", F.coalesce("to", "component").alias("component")).unionByName(alone.select("node", "component"))
+
+
 def similar_components(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """doc_id, n_shingles, component_id of each row of docs(doc_id, text)."""
     small_batches(docs)
@@ -330,14 +345,10 @@ def similar_components(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     links = led.where("leader <> doc_id").select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
     component = settle(connected_components(links, "a", "b"))
 
-    def placed(component: DataFrame, of: DataFrame, name: str = "doc_id") -> DataFrame:
-        c = component.select(F.col("node").alias(name), F.col("component").alias("component"))
-        return of.join(c, name, "left").withColumn("component", F.coalesce("component", F.col(name)))
-
     # leading shingles of every different set, with the component of its document; equal sets are with their leader already
     classes = count_classes(docs, rule)
     skip = led.groupBy("doc_id").agg(F.min("equal").alias("equal")).where("equal").select("doc_id")
-    firsts = placed(component, docs.mapInArrow(_firsts(classes, rule), _FIRSTS).select("doc_id", "shingles").join(skip, "doc_id", "left_anti"))
+    firsts = _placed(component, docs.mapInArrow(_firsts(classes, rule), _FIRSTS).select("doc_id", "shingles").join(skip, "doc_id", "left_anti"))
     ends = firsts.select(F.explode("shingles").alias("shingle"), "component").groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     shared = settle(ends.where("lo <> hi").select("shingle"))
     bits = bitmap_of(shared, "shingle")
@@ -350,7 +361,7 @@ def similar_components(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     may_meet = (F.col("place") <= F.col("n") - need) & (F.col("pa") <= F.col("na") - need)
     checked = None
     for whole in (False, False, True):
-        now = settle(placed(component, members))
+        now = settle(_placed(component, members))
         if whole:
             other = now.select("shingle", F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("place").alias("pa"))
             met = now.join(other, "shingle").where((F.col("ca") < F.col("component")) & may_meet)
@@ -366,9 +377,8 @@ def similar_components(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
         fresh = _verify(docs, led.where("point is not null"), pairs, rule) if not pairs.isEmpty() else pairs
         if fresh.isEmpty():
             continue
-        stars = component.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        component = settle(connected_components(stars.unionByName(fresh), "a", "b"))
-    return placed(component, led.select("doc_id", F.col("n").alias("n_shingles"))).withColumnRenamed("component", "component_id")
+        component = settle(_merged(component, fresh))
+    return _placed(component, led.select("doc_id", F.col("n").alias("n_shingles"))).withColumnRenamed("component", "component_id")
 
 
 def keep_one(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
