@@ -207,7 +207,7 @@ def mix(laid: DataFrame, plan: pd.DataFrame, shards: int = SHARDS, seed: int = S
     )
     words = F.least("to", F.col("block") * block + F.col("take")) - F.col("from")
     return (
-        pieces.join(drawn, ["number", "block"])
+        pieces.join(drawn.hint("merge"), ["number", "block"])  # what Python makes of few rows looks small to the planner and isn't
         .select("row", "doc_id", "source", (F.col("from") - F.col("start")).alias("first"), words.alias("words"), "shard", "draw")
         .where("words > 0")
         .withColumn("order_key", F.xxhash64("shard", "source", "draw", "row", "first", F.lit(seed)))
