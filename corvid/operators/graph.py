@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvid.session import settle, shuffle_width
+from corvid.operators.ranges import numbered
+from corvid.session import settle
 
 
 def weighted_edges(pairs: DataFrame, src: str, dst: str, weight: Column | None = None) -> DataFrame:
@@ -262,18 +263,8 @@ def strong_components(edges: DataFrame) -> DataFrame:
 def edge_ranks(edges: DataFrame, share: float) -> DataFrame:
     """The heaviest share of the edges, ties by the ends: a threshold that means the same at any size. Edges are sorted in
     ranges, and a table with a row for each range holds the edges before it, so that no task sees them all."""
-    order = [F.desc("weight"), F.col("src"), F.col("dst")]
-    ranged = edges.repartitionByRange(shuffle_width(edges.sparkSession), *order).sortWithinPartitions(*order)
-    placed = settle(ranged.withColumn("__place", F.monotonically_increasing_id()))
-    part = F.shiftright("__place", 33)
-    starts, before = [], 0
-    for r in sorted(placed.groupBy(part.alias("part")).count().collect(), key=lambda r: r["part"]):
-        starts.append((r["part"], before))
-        before += r["count"]
-    offsets = edges.sparkSession.createDataFrame(starts, "__part long, __start long")
-    numbered = placed.withColumn("__part", part).join(F.broadcast(offsets), "__part")
-    first = numbered.where(F.col("__start") + F.col("__place").bitwiseAND(F.lit((1 << 33) - 1)) < max(1, int(before * share)))
-    return first.select(*edges.columns)
+    placed, n = numbered(edges, [F.desc("weight"), F.col("src"), F.col("dst")])
+    return placed.where(F.col("__place") < max(1, int(n * share))).select(*edges.columns)
 
 
 def simple_layers(edges: DataFrame) -> DataFrame:

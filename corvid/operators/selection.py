@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvid.operators.components import connected_components
-from corvid.session import settle, shuffle_width
+from corvid.operators.graph import nodes_of
+from corvid.operators.ranges import numbered
+from corvid.session import settle
 
 
 def induced(edges: DataFrame, allowed: DataFrame) -> DataFrame:
@@ -17,16 +19,27 @@ def induced(edges: DataFrame, allowed: DataFrame) -> DataFrame:
     return edges.join(ends[0], "src", "left_semi").join(ends[1], "dst", "left_semi").select(*edges.columns)
 
 
-def best_span(lookups: DataFrame, spans: DataFrame, on: Sequence[str]) -> DataFrame:
+def named_like(full: Column, asked: Column) -> Column:
+    """Whether a qualified name is the asked one, or ends in a dot and the asked one's last part."""
+    return (full == asked) | F.endswith(full, F.concat(F.lit("."), F.substring_index(asked, ".", -1)))
+
+
+def best_span(lookups: DataFrame, spans: DataFrame, on: Sequence[str], width: int = 256) -> DataFrame:
     """Each of lookups(on, lookup_id, start, end, name) with span_id and step of the span of spans(on, span_id, first, last,
-    span_name) that fits best: 1 the same lines and name, 2 the same lines, 3 the name and lines around, 4 lines around,
-    5 the same first line; within a step the shortest span, then the least span_id. Without any, nulls. Candidates are
-    compared by a running minimum, so that they are combined before the shuffle."""
-    same = (F.col("start") == F.col("first")) & (F.col("end") == F.col("last"))
-    named, around = F.col("name") == F.col("span_name"), (F.col("first") <= F.col("start")) & (F.col("end") <= F.col("last"))
-    step = F.when(same & named, 1).when(same, 2).when(around & named, 3).when(around, 4).when(F.col("start") == F.col("first"), 5)
-    met = lookups.join(spans, list(on)).withColumn("step", step).where("step is not null")
-    best = met.groupBy("lookup_id").agg(F.min(F.struct("step", (F.col("last") - F.col("first")).alias("size"), "span_id")).alias("b"))
+    span_name) that fits best: 1 the same lines and a like name, 2 the same lines, 3 a like name and the first line inside, 4
+    the first line inside, 5 the same first line. A null end is the start; without a name steps 1 and 3 are left out. Within a step
+    the first span of the file wins, by first line, then by span_id. Without any, nulls.
+
+    A span has a row for each `width` lines that it touches and a lookup one for its first line, so that a lookup meets the
+    spans around it and not all of its file. Candidates are compared by a running minimum, before the shuffle too."""
+    end, name = F.coalesce("end", "start"), F.when(F.col("name") != "", F.col("name"))
+    same, like = (F.col("start") == F.col("first")) & (end == F.col("last")), F.coalesce(named_like(F.col("span_name"), name), F.lit(False))
+    inside = F.col("start").between(F.col("first"), F.col("last"))
+    step = F.when(same & like, 1).when(same, 2).when(inside & like, 3).when(inside, 4).when(F.col("start") == F.col("first"), 5)
+    band = lambda c: F.floor(c / width)
+    banded = spans.where("first is not null").select("*", F.explode(F.sequence(band(F.col("first")), band(F.greatest("first", "last")))).alias("__band"))
+    met = lookups.withColumn("__band", band(F.col("start"))).join(banded, [*on, "__band"]).withColumn("step", step).where("step is not null")
+    best = met.groupBy("lookup_id").agg(F.min(F.struct("step", "first", "span_id")).alias("b"))
     return lookups.join(best, "lookup_id", "left").select(*lookups.columns, F.col("b.span_id").alias("span_id"), F.col("b.step").alias("step"))
 
 
@@ -56,9 +69,14 @@ def clamp_offset(offset: Column) -> Column:
     return F.greatest(F.coalesce(offset, F.lit(0)), F.lit(0))
 
 
-def symbol_kind(roles: Column) -> Column:
-    """definition where bit 1 is set, reference where one of bits 2, 4 and 8 is, else other."""
-    return F.when(roles.bitwiseAND(F.lit(1)) != 0, "definition").when(roles.bitwiseAND(F.lit(14)) != 0, "reference").otherwise("other")
+def is_definition(roles: Column) -> Column:
+    """Bit 1. A row may be a definition and a reference at once."""
+    return F.coalesce(roles, F.lit(0)).bitwiseAND(F.lit(1)) != 0
+
+
+def is_reference(roles: Column) -> Column:
+    """Import, write or read access: bits 2, 4 and 8."""
+    return F.coalesce(roles, F.lit(0)).bitwiseAND(F.lit(14)) != 0
 
 
 def dependency_risk(level: Column, criticality: Column) -> Column:
@@ -90,18 +108,26 @@ def common_prefix(names: Column, most: int = 3) -> Column:
 
 
 def trimmed(nodes: DataFrame, most: int, seed: int) -> DataFrame:
-    """`most` of the nodes(node): sorted by their text and taken from place `seed` (modulo their number) round. Places come
-    from sorted ranges and a table with a row for each range."""
-    spark = nodes.sparkSession
-    ranged = nodes.select("node", F.col("node").cast("string").alias("__text")).repartitionByRange(shuffle_width(spark), "__text").sortWithinPartitions("__text")
-    placed = settle(ranged.withColumn("__place", F.monotonically_increasing_id()))
-    part, starts, before = F.shiftright("__place", 33), [], 0
-    for r in sorted(placed.groupBy(part.alias("part")).count().collect(), key=lambda r: r["part"]):
-        starts.append((r["part"], before))
-        before += r["count"]
-    offsets = spark.createDataFrame(starts, "__part long, __start long")
-    place = F.col("__start") + F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.withColumn("__part", part).join(F.broadcast(offsets), "__part").where(F.pmod(place - seed, F.lit(max(before, 1))) < most).select("node")
+    """`most` of the nodes(node): sorted by their text and taken from place `seed` (modulo their number) round."""
+    placed, n = numbered(nodes.select("node", F.col("node").cast("string").alias("__text")), ["__text"])
+    return placed.where(F.pmod(F.col("__place") - seed, F.lit(max(n, 1))) < most).select("node")
+
+
+def trimmed_graph(edges: DataFrame, max_nodes: int | None = None, max_edges: int | None = None, seed: int = 0) -> tuple[DataFrame, dict]:
+    """Nodes and edges within budgets, and what was cut: the edges between the nodes of `trimmed`, and of these `max_edges`,
+    sorted by the texts of their ends and taken from place `seed` round. A report of a graph too large to show."""
+    nodes = settle(nodes_of(edges))
+    before = {"nodes_before": nodes.count(), "edges_before": edges.count()}
+    left = edges
+    if max_nodes is not None and before["nodes_before"] > max_nodes:
+        nodes = settle(trimmed(nodes, max_nodes, seed))
+        left = induced(edges, nodes)
+    placed, n = numbered(left, [F.col("src").cast("string"), F.col("dst").cast("string"), F.col("src"), F.col("dst")])
+    if max_edges is not None and n > max_edges:
+        placed = placed.where(F.pmod(F.col("__place") - seed, F.lit(n)) < max_edges)
+    kept = settle(placed.drop("__place"))
+    after = {"nodes_after": nodes.count(), "edges_after": min(n, n if max_edges is None else max_edges)}
+    return kept, before | after | {"truncated": after["nodes_after"] < before["nodes_before"] or after["edges_after"] < before["edges_before"]}
 
 
 def graph_stats(name: str, edges: DataFrame) -> DataFrame:

@@ -19,11 +19,16 @@ def induced_edges(spark, d) -> DataFrame:
 
 
 def ranked_span_lookup(spark, d) -> DataFrame:
-    """Each event looked up among its user's spans of events by type."""
+    """Each event looked up among its user's spans of events by type. Names are dotted and asked for by their last part, lookups run
+    past their span, and some have no end or no name."""
     events = _t(spark, d, "events")
-    spans = events.groupBy("user_id", F.col("event_type").alias("span_name")).agg(F.min("event_id").alias("first"), F.max("event_id").alias("last"))
+    spans = events.groupBy("user_id", F.concat(F.lit("m."), "event_type").alias("span_name")).agg(F.min("event_id").alias("first"), F.max("event_id").alias("last"))
     spans = spans.withColumn("span_id", F.concat_ws(":", F.col("user_id").cast("string"), "span_name"))
-    wanted = events.select("user_id", F.col("event_id").alias("lookup_id"), F.col("event_id").alias("start"), (F.col("event_id") + F.col("event_id") % 3).alias("end"), F.col("event_type").alias("name"))
+    e = F.col("event_id")
+    wanted = events.select(
+        "user_id", e.alias("lookup_id"), e.alias("start"), F.when(e % 5 != 0, e + (e % 3) * 100_000).alias("end"),
+        F.when(e % 7 == 0, F.lit(None)).when(e % 2 == 0, F.concat(F.lit("other."), "event_type")).otherwise(F.col("event_type")).alias("name"),
+    )
     found = S.best_span(wanted, spans, ["user_id"])
     return found.select("lookup_id", F.coalesce("span_id", F.lit("")).alias("span_id"), F.coalesce("step", F.lit(0)).alias("step"))
 
@@ -41,8 +46,14 @@ def capped_findings(spark, d) -> DataFrame:
 
 
 def symbol_roles(spark, d) -> DataFrame:
-    kinds = _t(spark, d, "lineitem").select("l_suppkey", S.symbol_kind(F.col("l_linenumber").cast("int")).alias("kind"))
-    return kinds.groupBy("l_suppkey").agg(F.count_if(F.col("kind") == "definition").alias("definitions"), F.count_if(F.col("kind") == "reference").alias("references"))
+    """Suppliers as symbols: a line defines, imports, writes or reads by its return flag and status."""
+    r, ship = F.col("l_returnflag"), F.col("l_linestatus")
+    bits = F.when(r == "A", 1).otherwise(0) + F.when(ship == "F", 8).otherwise(0) + F.when(r == "N", 2).otherwise(0)
+    rows = _t(spark, d, "lineitem").select("l_suppkey", bits.alias("roles"))
+    return rows.groupBy("l_suppkey").agg(
+        F.count_if(S.is_definition(F.col("roles"))).alias("definitions"), F.count_if(S.is_reference(F.col("roles"))).alias("references"),
+        F.count_if(S.is_definition(F.col("roles")) & S.is_reference(F.col("roles"))).alias("both"),
+    )
 
 
 def dependency_risk_score(spark, d) -> DataFrame:
@@ -73,6 +84,11 @@ def trimmed_nodes(spark, d) -> DataFrame:
     return S.trimmed(_t(spark, d, "part").select(F.col("p_partkey").alias("node")), 50, 23)
 
 
+def trimmed_edges(spark, d) -> DataFrame:
+    """A view of the trade graph within budgets of nodes and edges."""
+    return S.trimmed_graph(graphs.graph_edges(spark, d), 15, 60, 8)[0]
+
+
 def graph_stats(spark, d) -> DataFrame:
     out = S.graph_stats("trade", graphs.graph_edges(spark, d)).unionByName(S.graph_stats("tree", graphs._tree(spark, d)))
     return out.withColumns({"density": F.round("density", 8), "mean_degree": F.round("mean_degree", 6)})
@@ -89,7 +105,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         induced_edges, ranked_span_lookup, first_seen_definition, capped_findings, symbol_roles, dependency_risk_score, unresolved_calls, known_or_all, common_prefixes,
-        trimmed_nodes, graph_stats, path_union,
+        trimmed_nodes, trimmed_edges, graph_stats, path_union,
     )
 }
 
@@ -97,19 +113,20 @@ ORACLES = {
     "induced_edges": f"""WITH {graphs._TRADE}, k AS (SELECT n_nationkey AS n FROM nation WHERE n_regionkey IN (1, 2))
         SELECT * FROM trade WHERE src IN (SELECT n FROM k) AND dst IN (SELECT n FROM k)""",
     "ranked_span_lookup": """
-        WITH s AS (SELECT user_id, event_type AS span_name, min(event_id) AS first, max(event_id) AS last FROM events GROUP BY 1, 2),
-        c AS (SELECT e.event_id, e.user_id || ':' || span_name AS span_id, last - first AS size, CASE
-            WHEN first = e.event_id AND last = e.event_id + e.event_id % 3 THEN CASE WHEN span_name = event_type THEN 1 ELSE 2 END
-            WHEN first <= e.event_id AND e.event_id + e.event_id % 3 <= last THEN CASE WHEN span_name = event_type THEN 3 ELSE 4 END
-            WHEN first = e.event_id THEN 5 END AS step FROM events e JOIN s USING (user_id)),
-        b AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY step, size, span_id) AS r FROM c WHERE step IS NOT NULL)
-        SELECT e.event_id AS lookup_id, coalesce(span_id, '') AS span_id, coalesce(step, 0) AS step FROM events e LEFT JOIN (SELECT * FROM b WHERE r = 1) b ON b.event_id = e.event_id""",
+        WITH s AS (SELECT user_id, 'm.' || event_type AS span_name, min(event_id) AS first, max(event_id) AS last FROM events GROUP BY 1, 2),
+        q AS (SELECT user_id, event_id AS start, CASE WHEN event_id % 5 <> 0 THEN event_id + (event_id % 3) * 100000 ELSE event_id END AS stop,
+            CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 2 = 0 THEN 'other.' || event_type ELSE event_type END AS name FROM events),
+        c AS (SELECT start AS id, user_id || ':' || span_name AS span_id, first, start = first AND stop = last AS same, first <= start AND start <= last AS inside,
+            coalesce(span_name = name OR suffix(span_name, '.' || string_split(name, '.')[-1]), false) AS named, start = first AS top FROM q JOIN s USING (user_id)),
+        k AS (SELECT *, CASE WHEN same AND named THEN 1 WHEN same THEN 2 WHEN inside AND named THEN 3 WHEN inside THEN 4 WHEN top THEN 5 END AS step FROM c),
+        b AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY step, first, span_id) AS r FROM k WHERE step IS NOT NULL)
+        SELECT e.event_id AS lookup_id, coalesce(span_id, '') AS span_id, coalesce(step, 0) AS step FROM events e LEFT JOIN (SELECT * FROM b WHERE r = 1) b ON b.id = e.event_id""",
     "first_seen_definition": """SELECT o_custkey, o_orderkey, o_orderstatus FROM
         (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS r FROM orders) WHERE r = 1""",
     "capped_findings": """SELECT rule, event_id, CASE rule WHEN 'error' THEN 'error' WHEN 'click' THEN 'ignored' ELSE given END AS severity FROM
         (SELECT event_type AS rule, event_id, CASE WHEN value > 50 THEN 'warning' ELSE 'info' END AS given, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS r FROM events) WHERE r <= 5""",
-    "symbol_roles": """SELECT l_suppkey, count(*) FILTER (WHERE CAST(l_linenumber AS INTEGER) & 1 <> 0) AS definitions,
-        count(*) FILTER (WHERE CAST(l_linenumber AS INTEGER) & 1 = 0 AND CAST(l_linenumber AS INTEGER) & 14 <> 0) AS "references" FROM lineitem GROUP BY 1""",
+    "symbol_roles": """SELECT l_suppkey, count(*) FILTER (WHERE l_returnflag = 'A') AS definitions, count(*) FILTER (WHERE l_linestatus = 'F' OR l_returnflag = 'N') AS "references",
+        count(*) FILTER (WHERE l_returnflag = 'A' AND l_linestatus = 'F') AS both FROM lineitem GROUP BY 1""",
     "dependency_risk_score": """SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN 4.0::DOUBLE WHEN 1 THEN 3 WHEN 2 THEN 2 WHEN 3 THEN 1 ELSE 0.5 END
         * CASE WHEN s_nationkey < 12 THEN 0.5::DOUBLE ELSE 1 END AS score FROM supplier""",
     "unresolved_calls": """SELECT l_orderkey, count(*) AS unresolved FROM lineitem LEFT JOIN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) ON s_suppkey = l_suppkey
@@ -121,13 +138,19 @@ ORACLES = {
         SELECT p_brand, array_to_string(l[1:3], '.') AS prefix FROM c""",
     "trimmed_nodes": """SELECT p_partkey AS node FROM (SELECT p_partkey, row_number() OVER (ORDER BY CAST(p_partkey AS VARCHAR)) - 1 AS r, count(*) OVER () AS n FROM part)
         WHERE (r - 23 + n) % n < 50""",
+    "trimmed_edges": f"""WITH {graphs._TRADE}, n AS (SELECT src AS node FROM trade UNION SELECT dst FROM trade),
+        k AS (SELECT node FROM (SELECT node, row_number() OVER (ORDER BY CAST(node AS VARCHAR)) - 1 AS r, count(*) OVER () AS c FROM n) WHERE (r - 8 + c) % c < 15),
+        i AS (SELECT *, row_number() OVER (ORDER BY CAST(src AS VARCHAR), CAST(dst AS VARCHAR)) - 1 AS r, count(*) OVER () AS c FROM trade
+            WHERE src IN (SELECT node FROM k) AND dst IN (SELECT node FROM k))
+        SELECT src, dst, weight FROM i WHERE (r - 8 + c) % c < 60""",
     "graph_stats": f"""WITH RECURSIVE {graphs._TRADE}, {graphs._TREE}, e AS (SELECT 'trade' AS graph, src, dst FROM trade UNION SELECT 'tree', src, dst FROM tree),
         w AS (SELECT graph, src, dst FROM e UNION SELECT graph, dst, src FROM e),
-        up AS (SELECT graph, min(src) AS node FROM w GROUP BY 1 UNION SELECT w.graph, w.dst FROM up JOIN w ON w.graph = up.graph AND w.src = up.node),
-        n AS (SELECT graph, count(DISTINCT src) AS nodes FROM w GROUP BY 1), r AS (SELECT graph, count(*) AS reached FROM up GROUP BY 1),
+        low AS (SELECT DISTINCT graph, src AS node, src AS low FROM w UNION SELECT w.graph, w.dst, low.low FROM low JOIN w ON w.graph = low.graph AND w.src = low.node WHERE low.low < w.dst),
+        n AS (SELECT graph, count(DISTINCT src) AS nodes FROM w GROUP BY 1),
+        r AS (SELECT graph, count(DISTINCT low) AS components FROM (SELECT graph, node, min(low) AS low FROM low GROUP BY 1, 2) GROUP BY 1),
         m AS (SELECT graph, count(*) AS edges, count(*) FILTER (WHERE src = dst) AS loops FROM e GROUP BY 1),
         b AS (SELECT x.graph, count(*) AS reciprocal FROM e x JOIN e y ON x.graph = y.graph AND x.src = y.dst AND x.dst = y.src WHERE x.src <> x.dst GROUP BY 1)
         SELECT graph, nodes, edges, round(edges / (nodes * (nodes - 1))::DOUBLE, 8) AS density, round(2 * edges / nodes::DOUBLE, 6) AS mean_degree,
-            CASE WHEN reached = nodes THEN 1 END AS components, loops, coalesce(reciprocal, 0) AS reciprocal FROM n JOIN m USING (graph) JOIN r USING (graph) LEFT JOIN b USING (graph)""",
+            components, loops, coalesce(reciprocal, 0) AS reciprocal FROM n JOIN m USING (graph) JOIN r USING (graph) LEFT JOIN b USING (graph)""",
     "path_union": """SELECT nation FROM (SELECT c_nationkey AS nation FROM customer UNION SELECT s_nationkey FROM supplier) WHERE nation IN (SELECT n_nationkey FROM nation WHERE n_regionkey < 2)""",
 }

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import ast
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvid.operators import flow
 from corvid.sources.python_ast import _FUNCTION, _dotted, _mapped, _walk
 
-BLOCKS = "path string, qualname string, block int, start_line int, end_line int, statements int"
+BLOCKS = "path string, qualname string, block int, kind string, label string, start_line int, end_line int, statements int, in_degree int, out_degree int"
 EDGES = "path string, qualname string, src int, dst int, kind string"
+SYMBOLS = "path string, qualname string, block int, place int, symbol string, is_def boolean"
 EFFECTS = "path string, qualname string, effect string, target string, line int"
 ENTRYPOINTS = "path string, qualname string, framework string, kind string, method string, route string, line int"
 MODELS = "path string, qualname string, kind string, field string, type string, is_required boolean, is_many boolean"
@@ -30,87 +33,123 @@ MANY = ("list", "set", "tuple", "sequence", "iterable", "frozenset")
 
 
 class _Flow:
-    """Blocks and edges of one function: statements run into a block until control may go elsewhere."""
-
-    def __init__(self, body: list[ast.stmt]):
-        self.blocks: list[list[ast.stmt]] = []
+    """Blocks and edges of one function: an entry, blocks of statements that run in a row, an exit. Conditions, targets and iterables
+    belong to the block that control branches from. Returns and raises end a block without an edge; try, handlers, else and
+    finally run in a row; a with statement is a statement like any other."""
+
+    def __init__(self, node: ast.FunctionDef | ast.AsyncFunctionDef):
+        self.kinds: list[tuple[str, str]] = []
+        self.blocks: list[list[ast.AST]] = []
+        self.lines: list[list[int]] = []
         self.edges: list[tuple[int, int, str]] = []
-        self.run(body, self.block(), None, None)
-
-    def block(self) -> int:
+        self.loops: list[tuple[int, int]] = []
+        first = self.block("entry"), self.block("body")
+        self.lines[0] = [node.lineno, node.lineno]
+        self.link(*first, "fallthrough")
+        last = self.run(node.body, first[1])
+        end = self.block("exit")
+        self.lines[end] = [node.end_lineno, node.end_lineno]
+        self.link(last, end, "fallthrough")
+
+    def block(self, kind: str, label: str = "") -> int:
+        n = len(self.blocks)
+        self.kinds.append((kind, label or f"{kind}:{n}"))
         self.blocks.append([])
-        return len(self.blocks) - 1
+        self.lines.append([])
+        return n
 
     def link(self, src: int | None, dst: int, kind: str) -> None:
         if src is not None:
             self.edges.append((src, dst, kind))
 
-    def run(self, body: list[ast.stmt], now: int | None, head: int | None, after: int | None) -> int | None:
+    def reach(self, now: int, node: ast.AST) -> None:
+        """The lines of a block run from its first statement to the last one met in it."""
+        self.lines[now] = [self.lines[now][0] if self.lines[now] else node.lineno, node.end_lineno]
+
+    def run(self, body: list[ast.stmt], now: int | None) -> int | None:
         """The block where control goes on behind the statements; None if it never does."""
         for s in body:
-            if now is None:
-                now = self.block()  # code that nothing leads to
-            self.blocks[now].append(s)
+            now = self.block("body") if now is None else now  # code that nothing leads to
+            self.reach(now, s)
             if isinstance(s, ast.If):
-                now = self.branch(s, now, head, after)
+                now = self.branch(s, now)
             elif isinstance(s, (ast.For, ast.AsyncFor, ast.While)):
                 now = self.loop(s, now)
-            elif isinstance(s, (ast.With, ast.AsyncWith)):
-                now = self.run(s.body, now, head, after)
             elif isinstance(s, ast.Try):
                 for part in (s.body, *(h.body for h in s.handlers), s.orelse, s.finalbody):
-                    now = self.run(part, now, head, after) if part else now
-            elif isinstance(s, ast.Break):
-                self.link(now, after, "jump") if after is not None else None
-                now = None
-            elif isinstance(s, ast.Continue):
-                self.link(now, head, "jump") if head is not None else None
-                now = None
-            elif isinstance(s, (ast.Return, ast.Raise)):
-                now = None
+                    now = self.run(part, now)
+            else:
+                self.blocks[now].append(s)
+                if isinstance(s, (ast.Break, ast.Continue)) and self.loops:
+                    self.link(now, self.loops[-1][isinstance(s, ast.Break)], "jump")
+                now = None if isinstance(s, (ast.Return, ast.Raise, ast.Break, ast.Continue)) else now
         return now
 
-    def branch(self, s: ast.If, now: int, head: int | None, after: int | None) -> int | None:
+    def branch(self, s: ast.If, now: int) -> int:
+        self.blocks[now].append(s.test)
         ends = []
         for part, kind in ((s.body, "true"), (s.orelse, "false")):
             if part:
-                first = self.block()
+                first = self.block("body", f"if_{kind}")
                 self.link(now, first, kind)
-                ends.append((self.run(part, first, head, after), "fallthrough"))
+                ends.append((self.run(part, first), "fallthrough"))
             else:
                 ends.append((now, kind))
-        if all(e is None for e, _ in ends):
-            return None
-        join = self.block()
-        for e, kind in ends:
-            self.link(e, join, kind)
+        join = self.block("body", "if_join")
+        for end, kind in ends:
+            self.link(end, join, kind)
         return join
 
-    def loop(self, s: ast.For | ast.While, now: int) -> int:
-        head, body, after = self.block(), self.block(), self.block()
+    def loop(self, s: ast.For | ast.AsyncFor | ast.While, now: int) -> int:
+        head, after = self.block("loop_head"), self.block("loop_exit")
         self.link(now, head, "fallthrough")
+        self.blocks[head] += [s.test] if isinstance(s, ast.While) else [s.target, s.iter]
+        self.loops.append((head, after))
+        body = self.block("body", "loop_body")
         self.link(head, body, "loop")
-        self.link(head, after, "false")
-        self.link(self.run(s.body, body, head, after), head, "back")
-        return self.run(s.orelse, after, None, None) if s.orelse else after
+        self.link(self.run(s.body, body), head, "back")
+        if s.orelse:
+            other = self.block("body", "loop_else")
+            self.link(head, other, "false")
+            self.link(self.run(s.orelse, other), after, "fallthrough")
+        else:
+            self.link(head, after, "false")
+        self.loops.pop()
+        return after
 
 
 def _flows(tree: ast.AST):
     for node, name, *_ in _walk(tree):
         if isinstance(node, _FUNCTION):
-            yield node, name, _Flow(node.body)
+            yield node, name, _Flow(node)
 
 
 def _block_rows(path: str, tree: ast.AST, text: str) -> list[tuple]:
     out = []
-    for node, name, flow in _flows(tree):
-        for i, b in enumerate(flow.blocks):
-            out.append((path, name, i, b[0].lineno if b else node.lineno, b[-1].end_lineno if b else node.lineno, len(b)))
+    for _, name, g in _flows(tree):
+        into, out_of = Counter(e[1] for e in g.edges), Counter(e[0] for e in g.edges)
+        for i, b in enumerate(g.blocks):
+            start, end = g.lines[i] or (None, None)
+            out.append((path, name, i, *g.kinds[i], start, end, len(b), into[i], out_of[i]))
     return out
 
 
 def _edge_rows(path: str, tree: ast.AST, text: str) -> list[tuple]:
-    return [(path, name, *e) for _, name, flow in _flows(tree) for e in flow.edges]
+    return [(path, name, *e) for _, name, g in _flows(tree) for e in g.edges]
+
+
+def _symbol_rows(path: str, tree: ast.AST, text: str) -> list[tuple]:
+    """Names that statements write (parameters of inner functions included) and read."""
+    out = []
+    for _, name, g in _flows(tree):
+        for i, b in enumerate(g.blocks):
+            for place, s in enumerate(b):
+                for n in ast.walk(s):
+                    if isinstance(n, ast.arg):
+                        out.append((path, name, i, place, n.arg, True))
+                    elif isinstance(n, ast.Name) and not isinstance(n.ctx, ast.Del):
+                        out.append((path, name, i, place, n.id, isinstance(n.ctx, ast.Store)))
+    return out
 
 
 def _aliases(tree: ast.AST) -> dict[str, str]:
@@ -210,17 +249,27 @@ def flow_edges(files: DataFrame) -> DataFrame:
     return _rows(files, _edge_rows, EDGES)
 
 
+def flow_symbols(files: DataFrame) -> DataFrame:
+    return _rows(files, _symbol_rows, SYMBOLS)
+
+
+def data_flow(files: DataFrame) -> DataFrame:
+    """path, qualname, src_block, dst_block, symbol, kind, via_phi, uses of all functions."""
+    return flow.data_flow(flow_edges(files), flow_symbols(files), ["path", "qualname"])
+
+
+def flow_metrics(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return flow.flow_metrics(blocks(files), flow_edges(files), ["path", "qualname"])
+
+
 def flow_stats(files: DataFrame) -> DataFrame:
     """path, qualname, blocks, edges, branches (blocks with two ways on or more), loops, linear blocks' share."""
-    b, e = blocks(files), flow_edges(files)
-    out = e.groupBy("path", "qualname", F.col("src").alias("block")).agg(F.count("*").alias("out"), F.count_if(F.col("kind") == "loop").alias("loops"))
-    into = e.groupBy("path", "qualname", F.col("dst").alias("block")).agg(F.count("*").alias("in"))
-    key = ["path", "qualname", "block"]
-    wide = b.join(out, key, "left").join(into, key, "left").na.fill(0, ["out", "loops", "in"])
-    return wide.groupBy("path", "qualname").agg(
-        F.count("*").alias("blocks"), F.sum("out").alias("edges"), F.count_if(F.col("out") >= 2).alias("branches"), F.sum("loops").alias("loops"),
-        F.avg(F.when((F.col("out") == 1) & (F.col("in") == 1), 1.0).otherwise(0.0)).alias("linear_share"),
+    b, loops = blocks(files), flow_edges(files).where("kind = 'loop'").groupBy("path", "qualname").agg(F.count("*").alias("loops"))
+    stats = b.groupBy("path", "qualname").agg(
+        F.count("*").alias("blocks"), F.sum("out_degree").alias("edges"), F.count_if(F.col("out_degree") >= 2).alias("branches"),
+        F.avg(F.when((F.col("out_degree") == 1) & (F.col("in_degree") == 1), 1.0).otherwise(0.0)).alias("linear_share"),
     )
+    return stats.join(loops, ["path", "qualname"], "left").na.fill(0, ["loops"])
 
 
 def effects(files: DataFrame) -> DataFrame:

@@ -193,5 +193,6 @@ def test_bands_give_what_plain_joins_give(spark):
 
 
 def test_every_query_is_held_against_something():
-    brute = {"kcore", "condensation_layers", "betweenness", "label_propagation", "articulation_bridges", "dominance"}
+    brute = {"kcore", "condensation_layers", "betweenness", "label_propagation", "articulation_bridges", "dominance",
+             "betweenness_sampled", "path_stats", "sketched_reach"}
     assert set(catalog.queries()) == set(catalog.oracles()) | brute
