@@ -9,8 +9,10 @@ one code point left out, and byte by byte where keys agree. Keys are sorted, so
 does not cost a comparison for each two of them.
 
 A word can hold a segment at its start only if it has the segment's first GRAM code points, so shards are made by the first
-and by the last GRAM code points of words. A shard above LIMIT words is split: each part holds the segments of some of its
-words and scans them all. A part adds up what it found for each word before anything is shuffled; pairs are never written.
+and by the last GRAM code points of words. A shard above LIMIT words is dealt anew, by whole segments and word lengths, and one
+that is still too large by blocks: a cell holds the segments of one block and scans another. So a cell has 2 LIMIT words at
+most, however often a beginning or an ending occurs. It adds up what it found for each word before anything is shuffled;
+pairs are never written.
 
 Words are in Latin-1 inside, a byte for each code point. Nulls: a null text has no words; a null doc_id has the empty text
 form. Repeated rows count again. Runs of letters of any length are whole words. Ties between forms of equal n go to the
@@ -132,7 +134,7 @@ def _segment(word: str, side: int, m: int) -> str:
     return word[: m // 2] if side == 0 else word[len(word) - (m - m // 2) :]
 
 
-def scan(words: list[str], sides: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def scan(words: list[str], sides: np.ndarray, held: np.ndarray, scanned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each word: whether another word of its length has the same segment, one of the two being held; and whether a held word
     shorter by one has a segment that stands at its place in this word."""
     same, shorter = np.zeros(len(words), bool), np.zeros(len(words), bool)
@@ -146,7 +148,7 @@ def scan(words: list[str], sides: np.ndarray, held: np.ndarray) -> tuple[np.ndar
             continue
         automaton.make_automaton()
         met = set()
-        for k in mine:
+        for k in mine[scanned[mine]]:
             word = words[k]
             n = len(word)
             for end, segment in automaton.iter(word):
@@ -229,9 +231,10 @@ def _inserted(short: _Class, long: _Class, side: int) -> Iterator[tuple[np.ndarr
         yield x[true], y[true]
 
 
-def near_in_shard(words: list[bytes], n: np.ndarray, sides: np.ndarray, cells: np.ndarray, held: np.ndarray) -> dict[int, tuple[int, int]]:
-    """For row numbers with near words: how many were found here, and the row of the best of them."""
-    same, shorter = scan([w.decode("latin-1") for w in words], sides, held)
+def near_in_shard(words: list[bytes], n: np.ndarray, sides: np.ndarray, cells: np.ndarray, held: np.ndarray, scanned: np.ndarray) -> dict[int, tuple[int, int]]:
+    """For row numbers with near words: how many were found here, and the row of the best of them. Of two words of one length a
+    held one gets a scanned one; of two others, the shorter being held and the longer scanned, each gets the other."""
+    same, shorter = scan([w.decode("latin-1") for w in words], sides, held, scanned)
     sizes = np.array([len(w) for w in words], np.int64)
     rank = np.empty(len(words), np.int64)
     rank[sorted(range(len(words)), key=lambda k: (-n[k], words[k]))] = np.arange(len(words))
@@ -246,8 +249,9 @@ def near_in_shard(words: list[bytes], n: np.ndarray, sides: np.ndarray, cells: n
             if (c := of(side, m, same)) is not None:
                 for x, y in _replaced(c, side):
                     for a, b in ((c.rows[x], c.rows[y]), (c.rows[y], c.rows[x])):
-                        to.append(a[held[a]])
-                        by.append(b[held[a]])
+                        met = held[a] & scanned[b]
+                        to.append(a[met])
+                        by.append(b[met])
             long, short = of(side, m, shorter), of(side, m - 1, held)
             if long is not None and short is not None:
                 for x, y in _inserted(short, long, side):
@@ -264,13 +268,13 @@ def near_in_shard(words: list[bytes], n: np.ndarray, sides: np.ndarray, cells: n
 
 
 def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All rows of a partition; their number is about LIMIT, whatever the input."""
+    """All rows of a partition: some cells of 2 LIMIT rows at most."""
     full = [b for b in batches if len(b)]
     if not full:
         return
     table = pa.Table.from_batches(full)
     words, n = table.column("word").to_pylist(), table.column("n").to_numpy()
-    got = near_in_shard(words, n, table.column("side").to_numpy(), table.column("cell").to_numpy(), table.column("held").to_numpy())
+    got = near_in_shard(words, n, *[table.column(c).to_numpy() for c in ("side", "cell", "held", "scanned")])
     best = [b for _, b in got.values()]
     yield pa.RecordBatch.from_arrays(
         [
@@ -290,17 +294,30 @@ def near_words(words: DataFrame, limit: int = LIMIT) -> DataFrame:
     routes = words.select("word", "n", F.explode(F.array(
         *[F.struct(F.lit(side).alias("side"), F.substring("word", at, GRAM).alias("gram")) for side, at in ((0, 1), (1, -GRAM))]
     )).alias("r")).select("word", "n", "r.side", "r.gram")
-    counts = settle(routes.groupBy("side", "gram").count())
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    large = counts.where(F.col("count") > limit).select("side", "gram", F.ceil(F.col("count") / limit).cast("int").alias("parts"))
-    parts = F.coalesce("parts", F.lit(1))
-    shards = max(shuffle_width(words.sparkSession), -(-total // limit))
-    dealt = (
-        routes.join(large, ["side", "gram"], "left")
-        .select("*", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-        .select("word", "n", "side", F.xxhash64("side", "gram", "part").alias("cell"), (F.pmod(F.xxhash64("word"), parts) == F.col("part")).alias("held"))
-        .repartition(shards, "cell")
+    every = F.lit(True)
+    counts = settle(routes.groupBy("side", "gram").agg(F.count("*").alias("size")))
+    large = counts.where(F.col("size") > limit).select("side", "gram", every.alias("large"))
+    marked = settle(routes.join(large, ["side", "gram"], "left"))
+    cool = marked.where("large is null").select("word", "n", "side", F.xxhash64("side", "gram").alias("cell"), every.alias("held"), every.alias("scanned"))
+    # large shards: to the words with the same segment, and to those for which this word is the longer one
+    half, length = F.floor(F.col("m") / 2).cast("int"), F.octet_length("word")
+    ways = F.filter(F.array(F.struct(length.alias("m"), every.alias("held")), F.struct((length - 1).alias("m"), F.lit(False).alias("held"))), lambda w: w["m"] >= LEAST)
+    hot = marked.where("large").select("word", "n", "side", F.explode(ways).alias("w")).select("word", "n", "side", "w.m", "w.held")
+    segment = F.when(F.col("side") == 0, F.substring("word", F.lit(1), half)).otherwise(F.substring("word", half - F.col("m"), F.col("m") - half))
+    hot = settle(hot.withColumn("segment", segment))
+    blocks = hot.groupBy("side", "m", "segment").agg(F.ceil(F.count("*") / limit).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int")
+    as_held = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.col("own").alias("i"), k.alias("j"), every.alias("held"), (k == F.col("own")).alias("scanned")))
+    as_scanned = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(k.alias("i"), F.col("own").alias("j"), F.lit(False).alias("held"), every.alias("scanned")))
+    cells = F.when(F.col("held"), F.concat(as_held, F.filter(as_scanned, lambda c: c["i"] != F.col("own")))).otherwise(as_scanned)
+    split = (
+        hot.join(blocks, ["side", "m", "segment"])
+        .withColumn("own", own)
+        .select("word", "n", "side", "m", "segment", F.explode(cells).alias("c"))
+        .select("word", "n", "side", F.xxhash64("side", "m", "segment", "c.i", "c.j").alias("cell"), "c.held", "c.scanned")
     )
+    rows = counts.agg(F.sum(F.when(F.col("size") > limit, 2 * F.col("size")).otherwise(F.col("size")))).first()[0] or 0
+    dealt = cool.unionByName(split).repartition(max(shuffle_width(words.sparkSession), -(-rows // limit)), "cell")
     found = dealt.mapInArrow(_shard, "word binary, n_near long, form binary, form_n long")
     best = F.min(F.struct((-F.col("form_n")).alias("m"), F.col("form").alias("form")))
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("b")).select(

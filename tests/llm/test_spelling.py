@@ -62,7 +62,7 @@ def _latin(spark, words):
     return spark.createDataFrame(list(words.items()), "word string, n long").withColumn("word", F.encode("word", "ISO-8859-1"))
 
 
-@pytest.mark.parametrize("limit", [20, 50_000])
+@pytest.mark.parametrize("limit", [3, 20, 50_000])
 def test_equals_all_pairs(spark, limit):
     words = _vocabulary(random.Random(limit), 500)
     out = spelling.spelling_variants(_latin(spark, words), limit=limit)
@@ -91,7 +91,7 @@ def test_segments_are_found_at_their_places_only():
 
     words = ["abcdefg", "abczzzz", "xxxdefg", "zzzabcz", "abcdefgh"]
     every = np.ones(5, bool)
-    same, shorter = spelling.scan(words, np.zeros(5, np.int8), every)
+    same, shorter = spelling.scan(words, np.zeros(5, np.int8), every, every)
     assert same.tolist() == [True, True, False, False, False] and shorter.tolist() == [False, False, False, False, True]
-    same, _ = spelling.scan(words, np.ones(5, np.int8), every)
+    same, _ = spelling.scan(words, np.ones(5, np.int8), every, every)
     assert same.tolist() == [True, False, True, False, False]
