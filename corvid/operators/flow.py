@@ -1,12 +1,12 @@
 """Control flow and data flow of functions as tables: reaching definitions, data-flow edges, measures of control-flow graphs.
 
 A graph is named by its function (any columns `on`); its blocks are numbers from 0, the entry. All functions are worked on at once:
-a round of a fixpoint is one join over all of them, and rounds end with the deepest function. Only path counts and the
-dominator tree, which depend on the order of visits, run as small kernels on one function's edges."""
+a round of a fixpoint is one join over all of them, and rounds end with the deepest function. What depends on the order of
+visits (components, dominators, path counts) is a small kernel on the blocks and edges of one function."""
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Sequence
 
 import pandas as pd
@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.operators import kernels as K
-from corvid.operators.graph import bfs_levels, dag_layers, strong_components
 from corvid.session import settle
 
 MOST_PATHS = 1000
@@ -60,57 +59,154 @@ def data_flow(edges: DataFrame, symbols: DataFrame, on: Sequence[str]) -> DataFr
     return inside.unionByName(flow.select(*on, F.col("def_block").alias("src_block"), F.col("block").alias("dst_block"), "symbol", F.lit("data-flow").alias("kind"), "via_phi", "uses"))
 
 
-def _named(df: DataFrame, on: list[str], column: str, name: str) -> DataFrame:
-    return df.withColumn(name, F.struct(*on, F.col(column).cast("int").alias("b")))
+def _strong(blocks: list[int], after: dict[int, list[int]], before: dict[int, list[int]]) -> dict[int, int]:
+    """The least block of each block's strong component: forward in postorder, then backward."""
+    order, seen = [], set()
+    for root in blocks:
+        stack = [] if root in seen else [(root, iter(after[root]))]
+        seen.add(root)
+        while stack:
+            v, rest = stack[-1]
+            w = next((w for w in rest if w not in seen), None)
+            if w is None:
+                order.append(v)
+                stack.pop()
+            else:
+                seen.add(w)
+                stack.append((w, iter(after[w])))
+    home: dict[int, int] = {}
+    for root in reversed(order):
+        if root not in home:
+            part, todo = [root], [root]
+            home[root] = root
+            while todo:
+                for u in before[todo.pop()]:
+                    if u not in home:
+                        home[u] = root
+                        part.append(u)
+                        todo.append(u)
+            home.update(dict.fromkeys(part, min(part)))
+    return home
+
+
+def _longest(steps: set[tuple[int, int]]) -> int:
+    """Edges on the longest path of an acyclic graph."""
+    into, after = defaultdict(int), defaultdict(list)
+    for a, b in steps:
+        into[b] += 1
+        after[a].append(b)
+    level = {v: 0 for v in after if not into[v]}
+    todo = list(level)
+    for v in todo:
+        for w in after[v]:
+            level[w] = max(level.get(w, 0), level[v] + 1)
+            into[w] -= 1
+            if not into[w]:
+                todo.append(w)
+    return max(level.values(), default=0)
+
+
+def _paths(after: dict[int, list[int]], before: dict[int, list[int]], starts: list[int], targets: list[int], most: int, longest: int) -> int:
+    found = 0
+    for target in targets:
+        left, queue = {target: 0}, [target]
+        for v in queue:
+            for u in before[v]:
+                if u not in left:
+                    left[u] = left[v] + 1
+                    queue.append(u)
+        for start in starts:
+            if start == target or start not in left:
+                continue
+            path, stack = {start}, [(start, iter(after[start]))]
+            while stack and found < most:
+                v, rest = stack[-1]
+                w = next((w for w in rest if w not in path and w in left and len(stack) + left[w] <= longest), None)
+                if w is None:
+                    stack.pop()
+                    path.discard(v)
+                elif w == target:
+                    found += 1
+                else:
+                    path.add(w)
+                    stack.append((w, iter(after[w])))
+    return found
+
+
+def _graph(pdf: pd.DataFrame) -> tuple[list[tuple[int, int]], dict[int, list[int]], dict[int, list[int]]]:
+    real, after, before = pdf[pdf.src.notna()], defaultdict(list), defaultdict(list)
+    pairs = sorted(set(zip(real.src.astype(int), real.dst.astype(int), strict=True)))
+    for s, t in pairs:
+        after[s].append(t)
+        before[t].append(s)
+    return pairs, after, before
+
+
+def _with_marks(links: DataFrame, marks: DataFrame, on: list[str]) -> DataFrame:
+    """Edges and marked blocks of one function in one table: block is null in the former, src and dst are in the latter."""
+    none = F.lit(None).cast("int")
+    rows = links.select(*on, F.col("src").cast("int").alias("src"), F.col("dst").cast("int").alias("dst"), none.alias("block"), F.lit(False).alias("is_start"), F.lit(False).alias("is_end"))
+    return rows.unionByName(marks.select(*on, none.alias("src"), none.alias("dst"), F.col("block").cast("int").alias("block"), "is_start", "is_end"))
+
+
+def _kinds(df: DataFrame, on: list[str]) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*on).schema.fields)
 
 
 def simple_path_counts(edges: DataFrame, ends: DataFrame, on: Sequence[str], most: int = MOST_PATHS, longest: int = LONGEST) -> DataFrame:
     """on, paths: simple paths from the starts to the ends of ends(on, block, is_start, is_end), of at most `longest` edges; counting
     ends at `most` for each function. A search goes only where an end can still be reached in the edges that are left."""
     on = list(on)
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in edges.select(*on).schema.fields)
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        after, before = defaultdict(list), defaultdict(list)
-        real = pdf[pdf.src.notna()]
-        for s, t in sorted(set(zip(real.src.astype(int), real.dst.astype(int), strict=True))):
-            after[s].append(t)
-            before[t].append(s)
-        marks = pdf[pdf.src.isna()]
-        starts, targets = (sorted(set(marks[marks[c]].block.astype(int))) for c in ("is_start", "is_end"))
-        found = 0
-        for target in targets:
-            left, queue = {target: 0}, [target]
-            for v in queue:
-                for u in before[v]:
-                    if u not in left:
-                        left[u] = left[v] + 1
-                        queue.append(u)
-            for start in starts:
-                if start == target or start not in left:
-                    continue
-                path, stack = {start}, [(start, iter(after[start]))]
-                while stack and found < most:
-                    v, rest = stack[-1]
-                    w = next((w for w in rest if w not in path and w in left and len(stack) + left[w] <= longest), None)
-                    if w is None:
-                        stack.pop()
-                        path.discard(v)
-                    elif w == target:
-                        found += 1
-                    else:
-                        path.add(w)
-                        stack.append((w, iter(after[w])))
-        return pdf[on].head(1).assign(paths=found)
-
-    rows = edges.select(*on, "src", "dst", F.lit(None).cast("int").alias("block"), F.lit(False).alias("is_start"), F.lit(False).alias("is_end"))
-    none = F.lit(None).cast(edges.schema["src"].dataType)
-    marks = ends.select(*on, none.alias("src"), none.alias("dst"), F.col("block").cast("int").alias("block"), "is_start", "is_end")
-    return rows.unionByName(marks).groupBy(*on).applyInPandas(count, f"{kinds}, paths long")
+        _, after, before = _graph(pdf)
+        starts, targets = (sorted(set(pdf[pdf.src.isna() & pdf[c]].block.astype(int))) for c in ("is_start", "is_end"))
+        return pdf[on].head(1).assign(paths=_paths(after, before, starts, targets, most, longest))
+
+    return _with_marks(edges, ends, on).groupBy(*on).applyInPandas(count, f"{_kinds(edges, on)}, paths long")
+
+
+def block_measures(links: DataFrame, marks: DataFrame, on: Sequence[str]) -> DataFrame:
+    """on, block, component (least block of its strong component), in_loop, distance and depth (from the entry; null where it doesn't
+    lead), frontier, and for the function longest_path and paths: a kernel for each function of links(on, src, dst) and marks(on,
+    block, is_start, is_end), all of its blocks. A join's predecessors climb the dominator tree up to the join's own
+    dominator, and all that they pass have the join in their frontier."""
+    on = list(on)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pairs, after, before = _graph(pdf)
+        marked = pdf[pdf.src.isna()]
+        blocks, starts, targets = (sorted(set(marked[m].block.astype(int))) for m in (marked.block.notna(), marked.is_start.astype(bool), marked.is_end.astype(bool)))
+        home = _strong(blocks, after, before)
+        size = Counter(home[v] for v in blocks)
+        entry = starts[0] if starts else None
+        far, queue = ({}, []) if entry is None else ({entry: 0}, [entry])
+        for v in queue:
+            for w in after[v]:
+                if w not in far:
+                    far[w] = far[v] + 1
+                    queue.append(w)
+        idom, depth = ({}, {}) if entry is None else K.immediate_dominators(pairs, entry)
+        front = defaultdict(set)
+        for s, t in pairs:
+            while s in idom and t in idom and s != idom[t]:
+                front[s].add(t)
+                s = idom[s]
+        cyclic = max(size.values(), default=1) > 1
+        steps = {(home[a], home[b]) for a, b in pairs if home[a] != home[b] and (cyclic or a in far)}
+        rows = pd.DataFrame({
+            "block": blocks, "component": [home[v] for v in blocks], "in_loop": [size[home[v]] > 1 for v in blocks],
+            "distance": pd.array([far.get(v) for v in blocks], dtype="Int64"), "depth": pd.array([depth.get(v) for v in blocks], dtype="Int64"),
+            "frontier": [len(front[v]) for v in blocks], "longest_path": _longest(steps), "paths": _paths(after, before, starts[:1], targets, MOST_PATHS, LONGEST),
+        })
+        return pdf[on].head(1).merge(rows, how="cross")
+
+    schema = f"{_kinds(links, on)}, block int, component int, in_loop boolean, distance long, depth long, frontier long, longest_path long, paths long"
+    return _with_marks(links, marks, on).groupBy(*on).applyInPandas(run, schema)
 
 
 def flow_metrics(blocks: DataFrame, edges: DataFrame, on: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows by function and rows by block of blocks(on, block, kind) and edges(on, src, dst, kind).
+    """Rows by function and rows by block of blocks(on, block, kind) and edges(on, src, dst, kind); blocks has all ends of edges.
 
     By function: blocks, edges (distinct), has_cycles, components (strong), longest_path (edges; from the entry, or over the
     condensation where there is a cycle), mean_distance from the entry, branching_mean, branching_max, linear_share,
@@ -122,71 +218,25 @@ def flow_metrics(blocks: DataFrame, edges: DataFrame, on: Sequence[str]) -> tupl
     links = settle(edges.select(*on, "src", "dst").distinct())
     out = links.groupBy(*on, F.col("src").alias("block")).agg(F.count("*").alias("out_degree"))
     into = links.groupBy(*on, F.col("dst").alias("block")).agg(F.count("*").alias("in_degree"))
-    entries = blocks.where("kind = 'entry'").groupBy(*on).agg(F.min("block").alias("entry"))
-    # one graph of all functions, its nodes named by function and block
-    graph = settle(_named(_named(links, on, "src", "s"), on, "dst", "t").select(F.col("s").alias("src"), F.col("t").alias("dst"), F.lit(1).alias("weight")))
-    roots = _named(entries, on, "entry", "node").select("node")
-    unfold = lambda df, *more: df.select(*[F.col(f"node.{c}").alias(c) for c in on], F.col("node.b").alias("block"), *more)
-    far = settle(unfold(bfs_levels(graph, roots), "distance"))
-    parts = settle(strong_components(graph))
-    sizes = parts.groupBy("component").agg(F.count("*").alias("size"))
-    inner = settle(unfold(parts.join(sizes, "component"), F.col("component.b").alias("component"), (F.col("size") > 1).alias("in_loop")))
-    # loops of one block are no cycles here; where a function has others, the longest path is that over its condensation
-    cyclic = inner.groupBy(*on).agg(F.max("in_loop").alias("has_cycles"))
-    of = inner.select(*on, "block", "component")
-    ends = [of.withColumnsRenamed({"block": c, "component": n}) for c, n in (("src", "a"), ("dst", "b"))]
-    met = far.select(*on, F.col("block").alias("src"))
-    condensed = links.join(ends[0], [*on, "src"]).join(ends[1], [*on, "dst"]).where("a <> b").join(cyclic, on)
-    used = condensed.where("has_cycles").select(*on, "a", "b").unionByName(condensed.where("not has_cycles").join(met, [*on, "src"], "left_semi").select(*on, "a", "b")).distinct()
-    deep = dag_layers(_named(_named(used, on, "a", "s"), on, "b", "t").select(F.col("s").alias("src"), F.col("t").alias("dst")))
-    longest = unfold(deep, "layer").groupBy(*on).agg(F.max("layer").alias("longest_path"))
-    trees = dominators(links, entries, on)
-    by_block = (
-        blocks.join(out, [*on, "block"], "left").join(into, [*on, "block"], "left").na.fill(0, ["out_degree", "in_degree"])
-        .join(inner, [*on, "block"], "left").join(far, [*on, "block"], "left").join(trees, [*on, "block"], "left")
-        .withColumns({
-            "component": F.coalesce("component", "block"), "in_loop": F.coalesce("in_loop", F.lit(False)), "frontier": F.coalesce("frontier", F.lit(0)),
-            "is_branch": F.col("out_degree") > 1, "is_join": F.col("in_degree") > 1,
-        })
+    marks = blocks.select(*on, "block", (F.col("kind") == "entry").alias("is_start"), (F.col("kind") == "exit").alias("is_end"))
+    measured = block_measures(links, marks, on)
+    by_block = settle(
+        measured.join(out, [*on, "block"], "left").join(into, [*on, "block"], "left").na.fill(0, ["out_degree", "in_degree"])
+        .withColumns({"is_branch": F.col("out_degree") > 1, "is_join": F.col("in_degree") > 1})
     )
-    by_block = settle(by_block)
     one = by_block.groupBy(*on).agg(
         F.count("*").alias("blocks"), F.countDistinct("component").alias("components"), F.avg("distance").alias("mean_distance"),
         F.coalesce(F.avg(F.when(F.col("out_degree") > 0, F.col("out_degree"))), F.lit(0.0)).alias("branching_mean"), F.max("out_degree").alias("branching_max"),
         F.avg(F.when((F.col("out_degree") == 1) & (F.col("in_degree") == 1), 1.0).otherwise(0.0)).alias("linear_share"), F.max("depth").alias("dominator_height"),
         F.avg("frontier").alias("frontier_mean"), F.max("frontier").alias("frontier_max"), F.countDistinct(F.when(F.col("in_loop"), F.col("component"))).alias("loops"),
-        F.count_if(F.col("distance").isNull()).alias("unreachable"), F.max("in_loop").alias("has_cycles"),
+        F.count_if(F.col("distance").isNull()).alias("unreachable"), F.max("in_loop").alias("has_cycles"), F.max("longest_path").alias("longest_path"), F.max("paths").alias("paths"),
     )
     largest = by_block.where("in_loop").groupBy(*on, "component").agg(F.count("*").alias("n")).groupBy(*on).agg(F.max("n").alias("largest_loop"))
     kinds = edges.groupBy(*on).agg(
         F.countDistinct(F.when(F.col("kind") == "back", F.col("dst"))).alias("loop_headers"),
         *[F.count_if(F.col("kind") == k).alias(f"{k}_edges") for k in ("true", "false", "back", "exception", "fallthrough", "loop", "jump")],
     )
-    count = links.groupBy(*on).agg(F.count("*").alias("edges"))
-    paths = simple_path_counts(links, blocks.select(*on, "block", (F.col("kind") == "entry").alias("is_start"), (F.col("kind") == "exit").alias("is_end")), on)
     by_function = one
-    for more in (count, kinds, largest, longest, paths):
+    for more in (links.groupBy(*on).agg(F.count("*").alias("edges")), kinds, largest):
         by_function = by_function.join(more, on, "left")
     return by_function.na.fill(0), by_block
-
-
-def dominators(links: DataFrame, entries: DataFrame, on: Sequence[str]) -> DataFrame:
-    """on, block, depth (in the dominator tree), frontier (size of the dominance frontier) of the blocks that the entry reaches; a kernel
-    for each function of links(on, src, dst), entries(on, entry). A join's predecessors climb the tree up to the join's own
-    dominator, and all that they pass have the join in their frontier."""
-    on = list(on)
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in links.select(*on).schema.fields)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        entry = int(pdf["entry"].iloc[0])
-        idom, depth = K.immediate_dominators(list(zip(pdf["src"].astype(int), pdf["dst"].astype(int), strict=True)), entry)
-        front = defaultdict(set)
-        for s, t in set(zip(pdf["src"].astype(int), pdf["dst"].astype(int), strict=True)):
-            while s in idom and t in idom and s != idom[t]:
-                front[s].add(t)
-                s = idom[s]
-        first = pdf[on].head(1)
-        rows = pd.DataFrame({"block": sorted(depth), "depth": [depth[v] for v in sorted(depth)], "frontier": [len(front[v]) for v in sorted(depth)]})
-        return first.merge(rows, how="cross")
-
-    return links.join(entries, on).groupBy(*on).applyInPandas(run, f"{kinds}, block int, depth int, frontier int")

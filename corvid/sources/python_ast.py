@@ -52,6 +52,16 @@ def _complexity(node: ast.AST) -> int:
     return 1 + sum(isinstance(n, _BRANCHES) for n in found) + sum(len(n.values) - 1 for n in found if isinstance(n, ast.BoolOp))
 
 
+def _own(node: ast.AST) -> Iterator[ast.AST]:
+    """What a function holds, without what lies in functions, lambdas and classes inside it."""
+    stack = list(ast.iter_child_nodes(node))
+    while stack:
+        n = stack.pop()
+        yield n
+        if not isinstance(n, (*_FUNCTION, ast.Lambda, ast.ClassDef)):
+            stack += ast.iter_child_nodes(n)
+
+
 def _depth(node: ast.AST) -> int:
     most, stack = 0, [(node, 0)]
     while stack:
@@ -84,7 +94,7 @@ def _function_rows(path: str, tree: ast.AST, text: str) -> list[tuple]:
             continue
         args = [a for a in (*node.args.posonlyargs, *node.args.args, *node.args.kwonlyargs, node.args.vararg, node.args.kwarg) if a is not None and a.arg not in ("self", "cls")]
         body = lines[node.lineno - 1 : node.end_lineno]
-        inner = list(ast.walk(node))
+        inner = list(_own(node))
         out.append(
             (path, name, "method" if parent else "function", node.lineno, node.end_lineno, len(args), sum(a.annotation is not None for a in args), node.returns is not None,
              isinstance(node, ast.AsyncFunctionDef), _complexity(node), len(body), sum(bool(s.strip()) and not s.strip().startswith("#") for s in body), _depth(node),
