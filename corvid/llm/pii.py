@@ -215,8 +215,10 @@ def discover(
 
 
 def _found_spans(docs: DataFrame, keep_text: bool, **limits: float) -> DataFrame:
-    """docs with __base and __spans: arrays of (start, rank, end, kind) by start, then kind."""
-    rows = mentions_of(docs, keep_text)
+    """docs with its columns but the text as `kept`, the text if asked for, and __base and __spans: arrays of (start, rank, end, kind) by
+    start, then kind."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"] or [F.lit(None).cast("int").alias("none")]
+    rows = mentions_of(docs.select("text", F.struct(*others).alias("kept")), keep_text)
     flat = rows.select("__row", F.explode("__mentions").alias("m")).select("__row", "m.*")
     found = settle(discover(flat, **limits).select("instance"))
     hits = join_skewed(flat.where("kind is null or kind = 'secret'"), found, "instance", "inner")
@@ -239,7 +241,10 @@ def _found_spans(docs: DataFrame, keep_text: bool, **limits: float) -> DataFrame
 def find_pii(docs: DataFrame, keep_text: bool = False, **limits: float) -> DataFrame:
     """Each row of docs with base and spans: arrays of (start, rank, end, kind), those of the fixed patterns and all, by
     start, then kind."""
-    return _found_spans(docs.drop("base", "spans"), keep_text, **limits).withColumnsRenamed({"__base": "base", "__spans": "spans"})
+    docs = docs.drop("base", "spans")
+    names = [c for c in docs.columns if c != "text"]
+    text = [F.col("text")] if keep_text else []
+    return _found_spans(docs, keep_text, **limits).select(*[F.col("kept")[c].alias(c) for c in names], *text, F.col("__base").alias("base"), F.col("__spans").alias("spans"))
 
 
 def spans_text(spans: Column) -> Column:
@@ -257,8 +262,8 @@ def mask_pii(docs: DataFrame, **limits: float) -> DataFrame:
         "__spans", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step,
         lambda acc: F.concat(acc["out"], F.substr("text", acc["at"] + 1, F.length("text"))),
     )
-    found = _found_spans(docs, True, **limits)
-    return found.withColumn("text", F.when(F.size("__spans") > 0, masked).otherwise(F.col("text"))).select(*docs.columns)
+    text = F.when(F.size("__spans") > 0, masked).otherwise(F.col("text")).alias("text")
+    return _found_spans(docs, True, **limits).select(*[text if c == "text" else F.col("kept")[c].alias(c) for c in docs.columns])
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

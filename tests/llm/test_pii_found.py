@@ -77,3 +77,16 @@ def test_own_columns_stay(spark):
     got = pii.mask_pii(df).collect()
     assert [r.asDict() for r in got] == [{"doc_id": 1, "text": "x <EMAIL>", "row_id": 5, "mentions": "m", "base": "b", "spans": "s", "instance": 3}]
     assert pii.find_pii(df).columns[-2:] == ["base", "spans"]
+
+
+def test_columns_of_any_name_are_carried(spark):
+    names = ["__row", "text", "__base", "__spans", "__mentions", "kept", "__more", "a.b", "base", "spans", "start", "none"]
+    said = ["call +49 30 1234567 now", None, "", "x@y.de and x@y.de"]
+    df = spark.createDataFrame([tuple(t if n == "text" else f"{n}{k}" for n in names) for k, t in enumerate(said)] * 2, ", ".join(f"`{n}` string" for n in names))
+    got = pii.mask_pii(df)
+    assert got.columns == names
+    want = ["call <PHONE> now", None, "", "<EMAIL> and <EMAIL>"]
+    assert sorted(map(str, got.collect())) == sorted(map(str, spark.createDataFrame([tuple(t if n == "text" else f"{n}{k}" for n in names) for k, t in enumerate(want)] * 2, df.schema).collect()))
+    found = pii.find_pii(df).collect()
+    assert len(found) == 8 and {(r["__row"], len(r["spans"])) for r in found} == {("__row0", 1), ("__row1", 0), ("__row2", 0), ("__row3", 2)}
+    assert [len(r["base"]) for r in pii.find_pii(df.select("text").limit(1)).collect()] == [1]
