@@ -7,14 +7,14 @@ visits (components, dominators, path counts) is a small kernel on the blocks and
 from __future__ import annotations
 
 from collections import Counter, defaultdict
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.operators import kernels as K
-from corvid.session import settle
+from corvid.session import settle, shuffle_width
 
 MOST_PATHS = 1000
 LONGEST = 50
@@ -133,20 +133,24 @@ def _paths(after: dict[int, list[int]], before: dict[int, list[int]], starts: li
     return found
 
 
-def _graph(pdf: pd.DataFrame) -> tuple[list[tuple[int, int]], dict[int, list[int]], dict[int, list[int]]]:
-    real, after, before = pdf[pdf.src.notna()], defaultdict(list), defaultdict(list)
-    pairs = sorted(set(zip(real.src.astype(int), real.dst.astype(int), strict=True)))
+def _graph(edges: list) -> tuple[list[tuple[int, int]], dict[int, list[int]], dict[int, list[int]]]:
+    after, before = defaultdict(list), defaultdict(list)
+    pairs = sorted({(e["src"], e["dst"]) for e in edges})
     for s, t in pairs:
         after[s].append(t)
         before[t].append(s)
     return pairs, after, before
 
 
-def _with_marks(links: DataFrame, marks: DataFrame, on: list[str]) -> DataFrame:
-    """Edges and marked blocks of one function in one table: block is null in the former, src and dst are in the latter."""
-    none = F.lit(None).cast("int")
-    rows = links.select(*on, F.col("src").cast("int").alias("src"), F.col("dst").cast("int").alias("dst"), none.alias("block"), F.lit(False).alias("is_start"), F.lit(False).alias("is_end"))
-    return rows.unionByName(marks.select(*on, none.alias("src"), none.alias("dst"), F.col("block").cast("int").alias("block"), "is_start", "is_end"))
+def _packed(links: DataFrame, marks: DataFrame, on: list[str]) -> DataFrame:
+    """A row for each function: its edges (src, dst) and its marked blocks (block, is_start, is_end) as arrays, whose size is that of the
+    function."""
+    edge = F.struct(F.col("src").cast("int").alias("src"), F.col("dst").cast("int").alias("dst"))
+    mark = F.struct(F.col("block").cast("int").alias("block"), "is_start", "is_end")
+    rows = links.select(*on, edge.alias("e"), F.lit(None).cast("struct<block:int,is_start:boolean,is_end:boolean>").alias("m"))
+    rows = rows.unionByName(marks.select(*on, F.lit(None).cast("struct<src:int,dst:int>").alias("e"), mark.alias("m")))
+    packed = rows.groupBy(*on).agg(F.collect_list("e").alias("edges"), F.collect_list("m").alias("marks"))
+    return packed.repartition(shuffle_width(links.sparkSession), *on)
 
 
 def _kinds(df: DataFrame, on: list[str]) -> str:
@@ -158,12 +162,16 @@ def simple_path_counts(edges: DataFrame, ends: DataFrame, on: Sequence[str], mos
     ends at `most` for each function. A search goes only where an end can still be reached in the edges that are left."""
     on = list(on)
 
-    def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        _, after, before = _graph(pdf)
-        starts, targets = (sorted(set(pdf[pdf.src.isna() & pdf[c]].block.astype(int))) for c in ("is_start", "is_end"))
-        return pdf[on].head(1).assign(paths=_paths(after, before, starts, targets, most, longest))
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = []
+            for edges, marks in zip(pdf["edges"], pdf["marks"], strict=True):
+                _, after, before = _graph(edges)
+                starts, targets = (sorted({m["block"] for m in marks if m[c]}) for c in ("is_start", "is_end"))
+                found.append(_paths(after, before, starts, targets, most, longest))
+            yield pdf[on].assign(paths=found)
 
-    return _with_marks(edges, ends, on).groupBy(*on).applyInPandas(count, f"{_kinds(edges, on)}, paths long")
+    return _packed(edges, ends, on).mapInPandas(count, f"{_kinds(edges, on)}, paths long")
 
 
 def block_measures(links: DataFrame, marks: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -173,10 +181,11 @@ def block_measures(links: DataFrame, marks: DataFrame, on: Sequence[str]) -> Dat
     dominator, and all that they pass have the join in their frontier."""
     on = list(on)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pairs, after, before = _graph(pdf)
-        marked = pdf[pdf.src.isna()]
-        blocks, starts, targets = (sorted(set(marked[m].block.astype(int))) for m in (marked.block.notna(), marked.is_start.astype(bool), marked.is_end.astype(bool)))
+    names = ("block", "component", "in_loop", "distance", "depth", "frontier", "longest_path", "paths")
+
+    def measure(edges: list, marks: list) -> list[tuple]:
+        pairs, after, before = _graph(edges)
+        blocks, starts, targets = (sorted({m["block"] for m in marks if c is None or m[c]}) for c in (None, "is_start", "is_end"))
         home = _strong(blocks, after, before)
         size = Counter(home[v] for v in blocks)
         entry = starts[0] if starts else None
@@ -193,16 +202,19 @@ def block_measures(links: DataFrame, marks: DataFrame, on: Sequence[str]) -> Dat
                 front[s].add(t)
                 s = idom[s]
         cyclic = max(size.values(), default=1) > 1
-        steps = {(home[a], home[b]) for a, b in pairs if home[a] != home[b] and (cyclic or a in far)}
-        rows = pd.DataFrame({
-            "block": blocks, "component": [home[v] for v in blocks], "in_loop": [size[home[v]] > 1 for v in blocks],
-            "distance": pd.array([far.get(v) for v in blocks], dtype="Int64"), "depth": pd.array([depth.get(v) for v in blocks], dtype="Int64"),
-            "frontier": [len(front[v]) for v in blocks], "longest_path": _longest(steps), "paths": _paths(after, before, starts[:1], targets, MOST_PATHS, LONGEST),
-        })
-        return pdf[on].head(1).merge(rows, how="cross")
+        longest = _longest({(home[a], home[b]) for a, b in pairs if home[a] != home[b] and (cyclic or a in far)})
+        paths = _paths(after, before, starts[:1], targets, MOST_PATHS, LONGEST)
+        return [(v, home[v], size[home[v]] > 1, far.get(v), depth.get(v), len(front[v]), longest, paths) for v in blocks]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [measure(e, m) for e, m in zip(pdf["edges"], pdf["marks"], strict=True)]
+            keys = pdf[on].loc[pdf.index.repeat([len(r) for r in rows])].reset_index(drop=True)
+            values = pd.DataFrame([x for r in rows for x in r], columns=names).astype({"distance": "Int64", "depth": "Int64"})
+            yield pd.concat([keys, values], axis=1)
 
     schema = f"{_kinds(links, on)}, block int, component int, in_loop boolean, distance long, depth long, frontier long, longest_path long, paths long"
-    return _with_marks(links, marks, on).groupBy(*on).applyInPandas(run, schema)
+    return _packed(links, marks, on).mapInPandas(run, schema)
 
 
 def flow_metrics(blocks: DataFrame, edges: DataFrame, on: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -133,8 +133,8 @@ def patch_deltas(spark, d) -> DataFrame:
 
 
 def communities_by_mergers(spark, d) -> DataFrame:
-    """Communities of the parts bought in a row."""
-    return communities.merge_communities(graphs._follow(spark, d))
+    """Communities of the suppliers that share parts."""
+    return communities.merge_communities(graphs.projection_edges(spark, d))
 
 
 def community_modularity(spark, d) -> DataFrame:
