@@ -11,12 +11,13 @@ from corvid.functions.ids import subsystem_id
 from corvid.operators import relational as R
 
 SNAPSHOT = ["repo", "commit"]
+BAND = 256  # lines; a long file is many join keys
 
 
 def function_coverage(functions: DataFrame, lines: DataFrame) -> DataFrame:
     """functions(repo, commit, path, function_id, start_line, end_line) with executable and covered lines, their ratio and
     the reason where a function is not tested; lines(repo, commit, path, line, is_executable, is_covered)."""
-    joined = R.band_join(functions, lines, [*SNAPSHOT, "path"], "start_line", "end_line", "line")
+    joined = R.band_join(functions, lines, [*SNAPSHOT, "path"], "start_line", "end_line", "line", BAND)
     runs, hit = F.col("r.is_executable"), F.col("r.is_covered")
     out = joined.groupBy("l.repo", "l.commit", "l.path", "l.function_id").agg(F.count_if(runs).alias("executable_lines"), F.count_if(runs & hit).alias("covered_lines"))
     reason = F.when(F.col("executable_lines") == 0, "no_executable_code").when(F.col("covered_lines") == 0, "no_tests").otherwise("")
@@ -25,7 +26,7 @@ def function_coverage(functions: DataFrame, lines: DataFrame) -> DataFrame:
 
 def test_edges(functions: DataFrame, contexts: DataFrame) -> DataFrame:
     """repo, commit, test_id, function_id, covered_lines, coverage_ratio: contexts(repo, commit, path, line, test_id) that lie in functions."""
-    met = R.band_join(functions, contexts, [*SNAPSHOT, "path"], "start_line", "end_line", "line", how="inner")
+    met = R.band_join(functions, contexts, [*SNAPSHOT, "path"], "start_line", "end_line", "line", BAND, "inner")
     size = F.coalesce(F.col("l.end_line"), F.col("l.start_line")) - F.col("l.start_line") + 1
     counted = met.groupBy("l.repo", "l.commit", "r.test_id", "l.function_id").agg(F.countDistinct("r.line").alias("covered_lines"), F.max(size).alias("__size"))
     return counted.withColumn("coverage_ratio", R.ratio(F.col("covered_lines"), F.col("__size"))).drop("__size")
@@ -136,14 +137,22 @@ def subsystem_agreement(membership: DataFrame, communities: DataFrame) -> DataFr
 
 def function_history(functions: DataFrame, hunks: DataFrame, now: Column, window_days: int = 365) -> DataFrame:
     """functions(path, function_id, start_line, end_line) with commits, authors, changed lines, churn and stability from
-    hunks(path, commit_id, author, ts, start, end): each hunk counts the lines that it shares with the function."""
-    f, h = functions.alias("f"), hunks.alias("h")
-    touch = (F.col("f.path") == F.col("h.path")) & (F.col("h.start") <= F.col("f.end_line")) & (F.col("h.end") >= F.col("f.start_line"))
-    shared = R.overlap(F.col("h.start"), F.col("h.end"), F.col("f.start_line"), F.col("f.end_line"))
-    rows = f.join(h, touch, "left").groupBy("f.path", "f.function_id", "f.start_line", "f.end_line").agg(
-        F.countDistinct("h.commit_id").alias("commits"), F.countDistinct("h.author").alias("authors"), F.coalesce(F.sum(shared), F.lit(0)).alias("changed_lines"),
-        F.min_by("h.commit_id", F.struct("h.ts", "h.commit_id")).alias("first_commit"), F.max_by("h.commit_id", F.struct("h.ts", "h.commit_id")).alias("last_commit"), F.min("h.ts").alias("first_ts"),
+    hunks(path, commit_id, author, ts, start, end): each hunk counts the lines that it shares with the function. Both are dealt to the
+    bands of lines that they touch, and a pair counts in the first one that they share."""
+    band = lambda c: F.floor(F.col(c) / BAND)
+    f = functions.select("path", "function_id", "start_line", "end_line", F.explode(F.sequence(band("start_line"), F.greatest(band("start_line"), band("end_line")))).alias("__band"))
+    h = hunks.where("start <= end").select("path", "commit_id", "author", "ts", "start", "end", F.explode(F.sequence(band("start"), band("end"))).alias("__band"))
+    shared = R.overlap(F.col("start"), F.col("end"), F.col("start_line"), F.col("end_line"))
+    met = f.join(h, ["path", "__band"]).where((F.col("start") <= F.col("end_line")) & (F.col("end") >= F.col("start_line")) & (F.col("__band") == F.floor(F.greatest("start", "start_line") / BAND)))
+    counted = met.groupBy("path", "function_id", "start_line", "end_line").agg(
+        F.countDistinct("commit_id").alias("commits"), F.countDistinct("author").alias("authors"), F.sum(shared).alias("changed_lines"),
+        F.min_by("commit_id", F.struct("ts", "commit_id")).alias("first_commit"), F.max_by("commit_id", F.struct("ts", "commit_id")).alias("last_commit"), F.min("ts").alias("first_ts"),
     )
+    key = ["path", "function_id", "start_line", "end_line"]
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in key]
+    joined = functions.select(*key).alias("a").join(counted.alias("b"), same[0] & same[1] & same[2] & same[3], "left")
+    zero = lambda c: F.coalesce(F.col(f"b.{c}"), F.lit(0).cast("long")).alias(c)
+    rows = joined.select(*[F.col(f"a.{c}").alias(c) for c in key], zero("commits"), zero("authors"), zero("changed_lines"), "b.first_commit", "b.last_commit", "b.first_ts")
     age = F.datediff(now, F.col("first_ts"))
     score = scores.churn(F.col("changed_lines"), F.lit(0), F.col("end_line") - F.col("start_line") + 1)
     return rows.withColumn("age_days", age).withColumn("churn_score", score).withColumn("stability", scores.stability(age, score, F.col("commits"), window_days))
