@@ -211,8 +211,8 @@ def boundary(edges: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def strong_components(edges: DataFrame) -> DataFrame:
-    """node, component (its least member). Each round drops nodes that have no way in or out of what is left, as often as it
-    finds some in its first steps, then spreads colours forward by the least hash, and back within a colour: what a colour's root
+    """node, component (its least member). Each round drops nodes that have no way in or out of what is left, as long as these are a
+    tenth of it, then spreads colours forward by the least hash, and back within a colour: what a colour's root
     reaches both ways is a component. Hashes cut a path at random places, so that rounds grow with the logarithm of it;
     rounds end when no node is left, and each takes one component of every colour at least."""
     links = settle(edges.select("src", "dst").where("src <> dst").distinct())
@@ -227,12 +227,15 @@ def strong_components(edges: DataFrame) -> DataFrame:
         links = settle(links.join(ends[0], "src", "left_semi").join(ends[1], "dst", "left_semi"))
 
     while not nodes.isEmpty():
-        for _ in range(3):
+        while True:
             both = links.select(F.col("src").alias("node")).distinct().intersect(links.select(F.col("dst").alias("node")).distinct())
             alone = settle(nodes.join(both, "node", "left_anti"))
-            if alone.isEmpty():
+            n, left = alone.count(), nodes.count()
+            if not n:
                 break
             keep(alone.select("node", F.struct(F.xxhash64("node").alias("h"), "node").alias("colour")))
+            if n == left or 10 * n < left:
+                break
         if nodes.isEmpty():
             break
         colour = settle(nodes.select("node", F.struct(F.xxhash64("node").alias("h"), "node").alias("colour")))

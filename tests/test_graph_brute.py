@@ -194,5 +194,5 @@ def test_bands_give_what_plain_joins_give(spark):
 
 def test_every_query_is_held_against_something():
     brute = {"kcore", "condensation_layers", "betweenness", "label_propagation", "articulation_bridges", "dominance",
-             "betweenness_sampled", "path_stats", "sketched_reach", "communities_by_mergers", "communities_by_graph", "small_clusters", "limited_clusters"}
+             "betweenness_sampled", "path_stats", "sketched_reach", "communities_by_mergers", "communities_by_graph", "small_clusters", "limited_clusters", "supplier_metrics"}
     assert set(catalog.queries()) == set(catalog.oracles()) | brute
