@@ -134,7 +134,8 @@ def function_history(spark, d) -> DataFrame:
     start = F.floor(F.col("l_partkey") / 97) * 20 + F.col("l_linenumber") * 3
     hunks = rows.select(_path(F.col("l_partkey")).alias("path"), F.col("o_orderkey").alias("commit_id"), F.col("o_custkey").alias("author"), F.col("o_orderdate").cast("date").alias("ts"), start.alias("start"), (start + F.col("l_linenumber") % 3).alias("end"))
     out = D.function_history(functions(spark, d).where("end_line is not null"), hunks, F.lit("1998-09-01").cast("date"))
-    return out.select("function_id", "commits", "authors", "changed_lines", "first_commit", "last_commit", "age_days", F.round("churn_score", 8).alias("churn_score"), "stability")
+    known = [F.coalesce(c, F.lit(-1)).alias(c) for c in ("first_commit", "last_commit", "age_days")]
+    return out.select("function_id", "commits", "authors", "changed_lines", *known, F.round("churn_score", 8).alias("churn_score"), "stability")
 
 
 def tag_rules(spark, d) -> DataFrame:
@@ -210,7 +211,7 @@ ORACLES = {
         g AS (SELECT id, s, e, count(DISTINCT k) AS commits, count(DISTINCT a) AS authors, CAST(coalesce(sum(CASE WHEN z IS NOT NULL THEN least(z, e) - greatest(b, s) + 1 END), 0) AS BIGINT) AS changed_lines, first(k ORDER BY ts, k) AS first_commit,
             first(k ORDER BY ts DESC, k DESC) AS last_commit, min(ts) AS t0 FROM fn LEFT JOIN h ON h.path = fn.path AND b <= e AND z >= s WHERE e IS NOT NULL GROUP BY 1, 2, 3),
         c AS (SELECT *, CAST(DATE '1998-09-01' - t0 AS INTEGER) AS age_days, least(changed_lines / greatest(e - s + 1, 1)::DOUBLE / 10, 1.0) AS churn FROM g)
-        SELECT id AS function_id, commits, authors, changed_lines, first_commit, last_commit, age_days, round(churn, 8) AS churn_score,
+        SELECT id AS function_id, commits, authors, changed_lines, coalesce(first_commit, -1) AS first_commit, coalesce(last_commit, -1) AS last_commit, coalesce(age_days, -1) AS age_days, round(churn, 8) AS churn_score,
             CASE WHEN age_days IS NULL THEN CASE WHEN churn > 0 THEN 'new_hot' ELSE 'unknown' END WHEN age_days <= 30 AND (churn >= 0.5 OR commits >= 5) THEN 'new_hot'
                 WHEN NOT age_days <= 30 AND NOT (churn >= 0.5 OR commits >= 5) AND commits <= 2 THEN 'stable' WHEN churn >= 0.2 THEN 'churning'
                 WHEN age_days > 365 AND (churn >= 0.5 OR commits >= 5) THEN 'legacy_hot' ELSE 'stable' END AS stability FROM c""",

@@ -243,9 +243,10 @@ ORACLES = {
         u AS (SELECT *, 1 AS hop FROM t0 UNION ALL SELECT *, 2 FROM t1 UNION ALL SELECT *, 3 FROM t2)
         SELECT node, first(targets ORDER BY hop) AS targets, min(hop) AS hop FROM u WHERE node % 9 <> 0 GROUP BY node""",
     "call_chains": f"""WITH RECURSIVE {graphs._TRADE}, n AS (SELECT CAST(n_nationkey AS BIGINT) AS node FROM nation),
-        p AS (SELECT node AS v, [node] AS chain FROM n WHERE node IN (3, 11) UNION ALL SELECT dst, list_append(chain, dst) FROM p JOIN trade ON src = v AND NOT list_contains(chain, dst) WHERE len(chain) <= 2),
+        p AS (SELECT node AS v, [node] AS chain FROM n WHERE node IN (3, 11) UNION ALL SELECT dst, list_append(chain, dst) FROM p JOIN trade ON src = v AND NOT list_contains(chain, dst) WHERE len(chain) <= 4),
         r AS (SELECT v AS target, chain, row_number() OVER (PARTITION BY v ORDER BY len(chain), chain) AS rank FROM p WHERE len(chain) > 1)
-        SELECT target, CAST(rank AS INTEGER) AS rank, array_to_string(chain, '>') AS chain FROM r WHERE rank <= 3""",
+        SELECT target, CAST(rank AS INTEGER) AS rank, array_to_string(chain, '>') AS chain FROM r WHERE rank <= 3
+        UNION ALL SELECT node, 1, CAST(node AS VARCHAR) FROM n WHERE node NOT IN (SELECT target FROM r)""",
     "refreshed_table": f"""SELECT p_partkey AS part, CAST(CASE p_partkey % 3 {" ".join(f"WHEN {k} THEN {len(t) - t.count('%')} + {t.count('%')} * length(CAST(p_size AS VARCHAR))" for k, t in enumerate((_LOOP, _RETRY, _PLAIN)))} END
         + CASE WHEN p_partkey % 10 = 3 THEN 11 ELSE 0 END AS BIGINT) AS chars FROM part WHERE p_partkey % 100 <> 7""",
 }
