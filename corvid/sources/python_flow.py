@@ -1,4 +1,4 @@
-"""Control flow, side effects, entry points and data models of Python files, as rows; one parse each, in mapInPandas."""
+"""Control flow, entry points and data models of Python files, as rows; one parse each, in mapInPandas."""
 
 from __future__ import annotations
 
@@ -14,19 +14,10 @@ from corvid.sources.python_ast import _FUNCTION, _dotted, _mapped, _walk
 BLOCKS = "path string, qualname string, block int, kind string, label string, start_line int, end_line int, statements int, in_degree int, out_degree int"
 EDGES = "path string, qualname string, src int, dst int, kind string"
 SYMBOLS = "path string, qualname string, block int, place int, symbol string, is_def boolean"
-EFFECTS = "path string, qualname string, effect string, target string, line int"
 ENTRYPOINTS = "path string, qualname string, framework string, kind string, method string, route string, line int"
 MODELS = "path string, qualname string, kind string, field string, type string, is_required boolean, is_many boolean"
 
-# Roots of modules and names of calls by what they do.
-EFFECT_ROOTS = {
-    "io": ("open", "os", "shutil", "pathlib", "io", "tempfile", "subprocess", "sys.stdout", "print"),
-    "network": ("requests", "httpx", "urllib", "socket", "aiohttp", "http"),
-    "db": ("sqlite3", "psycopg2", "sqlalchemy", "duckdb", "pymongo", "redis"),
-    "time": ("time", "datetime"),
-    "random": ("random", "secrets", "uuid", "numpy.random"),
-    "threads": ("threading", "multiprocessing", "concurrent", "asyncio"),
-}
+# Verbs of web frameworks, bases of data models and types of many values.
 VERBS = ("get", "post", "put", "delete", "patch", "head", "options")
 MODEL_BASES = {"BaseModel": "pydantic", "TypedDict": "typed_dict", "Protocol": "protocol", "Model": "django", "Base": "orm", "DeclarativeBase": "orm"}
 MANY = ("list", "set", "tuple", "sequence", "iterable", "frozenset")
@@ -162,21 +153,6 @@ def _aliases(tree: ast.AST) -> dict[str, str]:
     return found
 
 
-def _effect_rows(path: str, tree: ast.AST, text: str) -> list[tuple]:
-    names, out = _aliases(tree), []
-    for node, name, *_ in _walk(tree):
-        if not isinstance(node, _FUNCTION):
-            continue
-        for n in ast.walk(node):
-            if isinstance(n, ast.Call) and (target := _dotted(n.func)):
-                root, _, rest = target.partition(".")
-                full = names.get(root, root) + (f".{rest}" if rest else "")
-                out += [(path, name, kind, full, n.lineno) for kind, roots in EFFECT_ROOTS.items() if any(full == r or full.startswith(r + ".") for r in roots)]
-            elif isinstance(n, (ast.Global, ast.Nonlocal)):
-                out += [(path, name, type(n).__name__.lower(), v, n.lineno) for v in n.names]
-    return out
-
-
 def _literal(call: ast.Call, at: int, keyword: str) -> str | None:
     node = next((k.value for k in call.keywords if k.arg == keyword), call.args[at] if len(call.args) > at else None)
     return str(node.value) if isinstance(node, ast.Constant) else None
@@ -272,10 +248,6 @@ def flow_stats(files: DataFrame) -> DataFrame:
     return stats.join(loops, ["path", "qualname"], "left").na.fill(0, ["loops"])
 
 
-def effects(files: DataFrame) -> DataFrame:
-    return _rows(files, _effect_rows, EFFECTS)
-
-
 def entrypoints(files: DataFrame) -> DataFrame:
     return _rows(files, _entry_rows, ENTRYPOINTS)
 

@@ -2,7 +2,7 @@ import random
 from collections import Counter
 
 from corvid.operators import flow
-from corvid.sources import python_flow
+from corvid.sources import call_sites, python_flow
 
 CODE = '''
 import os, click, requests as rq
@@ -46,8 +46,8 @@ def test_flow(spark):
     assert {k for *_, k in edges} == {"true", "false", "fallthrough", "loop", "back", "jump"}
     stats = {r["qualname"]: (r["blocks"], r["loops"]) for r in python_flow.flow_stats(files).collect()}
     assert stats["cli"] == (6, 1) and stats["handler"][1] == 1
-    got = {(r["qualname"], r["effect"], r["target"]) for r in python_flow.effects(files).collect()}
-    assert got == {("handler", "network", "requests.get"), ("handler", "io", "os.path.join"), ("cli", "io", "print"), ("cli", "global", "STATE")}
+    got = {(r["qualname"], r["effect"], r["target"]) for r in call_sites.effects(call_sites.facts(files)).collect()}
+    assert got == {("handler", "io", "app.get"), ("handler", "io", "rq.get"), ("cli", "io", "print"), ("cli", "global", "STATE")}
     rows = {(r["qualname"], r["framework"], r["method"], r["route"]) for r in python_flow.entrypoints(files).collect()}
     assert rows == {("handler", "fastapi", "GET", "/x"), ("cli", "click", None, "cli")}
     models = {(r["qualname"], r["kind"], r["field"], r["is_required"], r["is_many"]) for r in python_flow.data_models(files).collect()}
