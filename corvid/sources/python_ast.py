@@ -79,9 +79,10 @@ def _mapped(rows_of, columns: str):
             rows = []
             for path, text in zip(pdf["path"], pdf["text"], strict=True):
                 try:
-                    rows += rows_of(path, ast.parse(text or ""), text or "")
+                    tree = ast.parse(text or "")
                 except (SyntaxError, ValueError):  # a file that is no Python has no rows
                     continue
+                rows += rows_of(path, tree, text or "")
             yield pd.DataFrame(rows, columns=names)
 
     return run
