@@ -110,14 +110,14 @@ def test_behaviour(spark, d) -> DataFrame:
 QUERIES = {f.__name__: f for f in (function_effects, effect_targets, external_calls, external_dependencies, test_behaviour)}
 
 _XC = """xc AS (SELECT p_partkey AS part, 'd' || (p_partkey % 7) || '.p' || p_partkey AS module, p_brand, v.* EXCLUDE (k) FROM part JOIN (VALUES
-        (0, 'save', 'redis', 'cache', 4, 'read,unknown,write', '7:redis.set(key, value);9:redis.get(key);10:redis.Redis();10:redis.Redis().ping()'),
+        (0, 'save', 'redis', 'cache', 4::BIGINT, 'read,unknown,write', '7:redis.set(key, value);9:redis.get(key);10:redis.Redis();10:redis.Redis().ping()'),
         (0, 'save', 'boto3', 'boto3', 2, 'read,write', '8:aws.client(''s3'');8:aws.client(''s3'').put(key)'),
         (2, 'test_invalid_edge', 'requests', 'requests', 1, 'unknown', '6:rq.post(''u'', n)'))
         v(k, qualname, library, service, callsites, modes, evidence) ON p_partkey % 4 = k)"""
 
 ORACLES = {
     "function_effects": """SELECT p_partkey AS part, v.* EXCLUDE (k) FROM part JOIN (VALUES
-        (0, 'save', true, true, false, false, false, true, false, 3, false), (1, 'wait', true, false, true, true, false, false, true, 3, false), (1, 'wait.tick', true, false, false, true, false, false, true, 2, false),
+        (0, 'save', true, true, false, false, false, true, false, 3::BIGINT, false), (1, 'wait', true, false, true, true, false, false, true, 3, false), (1, 'wait.tick', true, false, false, true, false, false, true, 2, false),
         (2, 'test_invalid_edge', true, false, false, false, false, false, false, 1, false), (2, 'TestRun.test_ok', true, false, false, false, true, false, false, 2, false),
         (3, 'add', false, false, false, false, false, false, false, 0, true), (3, 'twice', false, false, false, false, false, false, false, 0, true))
         v(k, qualname, uses_io, touches_db, uses_time, uses_randomness, spawns_threads, modifies_globals, modifies_closure, effect_calls, is_pure) ON p_partkey % 4 = k""",
@@ -129,7 +129,7 @@ ORACLES = {
         CASE library WHEN 'boto3' THEN 4.5::DOUBLE ELSE -1 END AS risk_score, count(*) AS functions, CAST(sum(callsites) AS BIGINT) AS callsites, count(DISTINCT module) AS modules, any_value(modes) AS modes,
         string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS config_keys, CASE library WHEN 'boto3' THEN 'High' WHEN 'redis' THEN 'high' ELSE CASE WHEN sum(callsites) > 10 THEN 'medium' ELSE 'low' END END AS risk_level FROM xc GROUP BY library, service""",
     "test_behaviour": """SELECT p_partkey AS part, v.* EXCLUDE (k, a, b), CASE WHEN p_partkey % 3 = 0 THEN b ELSE a END AS tags FROM part JOIN (VALUES
-        (2, 'test_invalid_edge', 2, 0, true, false, true, true, 'edge_cases,error_paths,io_heavy,network_interaction', 'db_interaction,edge_cases,error_paths,io_heavy,known_bug,network_interaction'),
+        (2, 'test_invalid_edge', 2::BIGINT, 0::BIGINT, true, false, true, true, 'edge_cases,error_paths,io_heavy,network_interaction', 'db_interaction,edge_cases,error_paths,io_heavy,known_bug,network_interaction'),
         (2, 'TestRun.test_ok', 0, 1, false, true, false, false, 'concurrency,filesystem_interaction,happy_path,io_heavy', 'concurrency,db_interaction,filesystem_interaction,happy_path,io_heavy,known_bug'))
         v(k, qualname, asserts, raises, expects_error, uses_concurrency, bounds, uses_fixtures, a, b) ON p_partkey % 4 = k""",
 }

@@ -127,6 +127,6 @@ ORACLES = {
         (0, 'run', 'a:unknown,n:nullable', '-', 0.3::DOUBLE), (1, 'Box.put', 'x:unknown', 'nullable', 0.3), (2, 'f', 'a:unknown,b:unknown', '-', 0.3), (2, 'g', '', '-', 0.0))
         v(k, qualname, params, result, confidence) ON p_partkey % 3 = k""",
     "file_sizes": """SELECT p_partkey AS part, v.* EXCLUDE (k) FROM part JOIN (VALUES
-        (0, 63, 1, 0, 0, 1, 4.93650794::DOUBLE, 9::BIGINT, 0.0::DOUBLE, 0.0::DOUBLE), (1, 57, 2, 0, 0, 2, 4.9122807, 9, 0.0, 0.0), (2, 77, 2, 1, 2, 2, 5.23376623, 9, 0.0, 0.0), (3, 26, 2, 0, 0, 2, 4.5, 7, 0.0, 0.0))
+        (0, 63::BIGINT, 1::BIGINT, 0::BIGINT, 0::BIGINT, 1::BIGINT, 4.93650794::DOUBLE, 9::BIGINT, 0.0::DOUBLE, 0.0::DOUBLE), (1, 57, 2, 0, 0, 2, 4.9122807, 9, 0.0, 0.0), (2, 77, 2, 1, 2, 2, 5.23376623, 9, 0.0, 0.0), (3, 26, 2, 0, 0, 2, 4.5, 7, 0.0, 0.0))
         v(k, nodes, functions, classes, complexity, untyped_defs, avg_depth, max_depth, params_ratio, returns_ratio) ON p_partkey % 4 = k""",
 }
