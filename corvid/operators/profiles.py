@@ -89,11 +89,12 @@ def with_functions(files: DataFrame, profile: DataFrame) -> DataFrame:
 def find_functions(functions: DataFrame, wanted: DataFrame) -> DataFrame:
     """The rows of functions(function_id, urn, path, qualname, ...) that wanted(request, function_id, urn, path, qualname) ask for, with
     `request` and `found_by`: by id if one is given, else by urn, else by path and name together. A request of several rows takes
-    each; one that gives none of the three is an error, one that meets nothing has no row."""
+    each; one that gives none of the three has a row of nulls found by `invalid`, one that meets nothing has no row."""
     by = F.when(F.col("function_id").isNotNull(), "function_id").when(F.col("urn").isNotNull(), "urn").when(F.col("path").isNotNull() & F.col("qualname").isNotNull(), "path")
-    asked = wanted.withColumn("found_by", F.coalesce(by, F.raise_error(F.lit("a request needs an id, a urn, or a path and a name")).cast("string")))
+    asked = wanted.withColumn("found_by", F.coalesce(by, F.lit("invalid")))
     keys = {"function_id": ["function_id"], "urn": ["urn"], "path": ["path", "qualname"]}
-    return reduce(DataFrame.unionByName, [functions.join(asked.where(F.col("found_by") == k).select("request", "found_by", *cols), cols).select("request", "found_by", *functions.columns) for k, cols in keys.items()])
+    met = [functions.join(asked.where(F.col("found_by") == k).select("request", "found_by", *cols), cols).select("request", "found_by", *functions.columns) for k, cols in keys.items()]
+    return reduce(DataFrame.unionByName, met).unionByName(asked.where("found_by = 'invalid'").select("request", "found_by"), allowMissingColumns=True)
 
 
 def high_risk(profile: DataFrame, least: float = 0.7, tested_only: bool = False, limit: int | None = None) -> DataFrame:

@@ -36,8 +36,8 @@ def test_lookups(spark):
     wanted = spark.createDataFrame([(1, 2, "u1", None, None), (2, None, "u1", "a.py", "f"), (3, None, None, "a.py", "f"), (4, None, "none", None, None)], "request int, function_id long, urn string, path string, qualname string")
     got = sorted((r["request"], r["found_by"], r["function_id"]) for r in P.find_functions(_functions(spark), wanted).collect())
     assert got == [(1, "function_id", 2), (2, "urn", 1), (3, "path", 1), (3, "path", 2)]
-    with pytest.raises(Exception, match="a request needs"):
-        P.find_functions(_functions(spark), spark.createDataFrame([(1, None, None, "a.py", None)], wanted.schema)).collect()
+    none = spark.createDataFrame([(1, None, None, "a.py", None), (2, None, None, None, "f")], wanted.schema)
+    assert sorted((r["request"], r["found_by"], r["function_id"]) for r in P.find_functions(_functions(spark), none).collect()) == [(1, "invalid", None), (2, "invalid", None)]
 
 
 def test_reads(spark):
