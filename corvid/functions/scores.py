@@ -6,6 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def rounded(value: Column, digits: int) -> Column:
+    """value times 10^digits, rounded half away from zero and divided again, as SQL engines round binary fractions. F.round rounds the shortest
+    decimal form, and the two part where a tie such as 0.9740625 came out of divisions as a value just below it."""
+    return F.round(value * 10.0**digits) / 10.0**digits
+
+
 def hotspot(commits: Column, authors: Column, churn: Column, complexity: Column) -> Column:
     cx = F.log1p(F.greatest(complexity.cast("double"), F.lit(0.0)) + 1)
     return 0.4 * F.log1p(commits) + 0.3 * F.log1p(authors) + 0.2 * F.log1p(churn) + 0.1 * cx

@@ -84,3 +84,10 @@ def test_scores(spark):
         scores.block_index(F.lit("f:block12")).alias("b"), scores.tags_of(F.lit("no json")).alias("t"), scores.stability(F.lit(None).cast("int"), F.lit(0.0), F.lit(1)).alias("s"),
     ).first()
     assert (round(got["r"], 6), got["l"], got["i"], got["n"], got["b"], got["t"], got["s"]) == (1.1, "medium", 0.5, None, 12, ["no json"], "unknown")
+
+
+def test_ties_of_divided_values_are_rounded_away_from_zero(spark):
+    got = spark.range(1).select(F.lit(3117.0).alias("changed"), F.lit(16).alias("commits")).select(scores.rounded(scores.churn(F.col("changed"), F.lit(0), F.col("commits") * 20), 6)).first()[0]
+    assert got == 0.974063  # 3117 / 320 / 10 is 0.9740625
+    values = spark.createDataFrame([(-0.25,), (0.25,), (None,)], "v double").select(scores.rounded(F.col("v"), 1)).collect()
+    assert [r[0] for r in values] == [-0.3, 0.3, None]
