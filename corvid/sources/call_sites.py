@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corvid.functions import scores
 from corvid.functions.ids import module_name
-from corvid.sources.python_ast import _FUNCTION, _mapped, _walk
+from corvid.sources.python_ast import _FUNCTION, _walk, parse_rows
 
 FACTS = "path string, qualname string, first_line int, kind string, name string, base string, library string, plain boolean, text string, line int, end_line int"
 
@@ -111,7 +111,7 @@ def facts(files: DataFrame) -> DataFrame:
     """What every function of files(path, text) holds, inner functions and decorators included: a row of kind `function` for itself and one
     for each call, global and nonlocal name, assert (name `boundary` if it compares by order), raise, and inner or own definition with
     parameters. Files that are no Python, and null texts, have none."""
-    return files.select("path", "text").mapInPandas(_mapped(_fact_rows, FACTS), FACTS)
+    return parse_rows(files, _fact_rows, FACTS)
 
 
 def _last(name: str = "name") -> Column:

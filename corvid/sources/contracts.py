@@ -10,7 +10,7 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.sources.python_ast import _FUNCTION, _mapped, _walk
+from corvid.sources.python_ast import _FUNCTION, _walk, parse_rows
 
 FACTS = "path string, qualname string, place int, fact string, kind string, name string, value string, source string, line int"
 # Marks of types that admit None, and starts of names of predicates.
@@ -115,7 +115,7 @@ def _fact_rows(path: str, tree: ast.AST, text: str) -> list[tuple]:
 
 
 def contract_facts(files: DataFrame) -> DataFrame:
-    return files.select("path", "text").mapInPandas(_mapped(_fact_rows, FACTS), FACTS)
+    return parse_rows(files, _fact_rows, FACTS)
 
 
 def _nullable(kind):

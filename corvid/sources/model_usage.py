@@ -12,7 +12,8 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.sources.python_ast import _FUNCTION, _dotted, _mapped, _walk
+from corvid.sources.python_ast import _FUNCTION, _dotted, _mapped, _walk, parse_rows
+from corvid.sources.texts import spread
 
 EVENTS = "path string, qualname string, place int, event string, variable string, name string, usage string, line int"
 FIELDS = "path string, qualname string, field string, type string, place int, rank int, symbol string, module string, name string"
@@ -135,7 +136,7 @@ def _event_rows(path: str, tree: ast.AST, text: str) -> list[tuple]:
 
 
 def usage_events(files: DataFrame) -> DataFrame:
-    return files.select("path", "text").mapInPandas(_mapped(_event_rows, EVENTS), EVENTS)
+    return parse_rows(files, _event_rows, EVENTS)
 
 
 def resolve_names(names: DataFrame, models: DataFrame) -> DataFrame:
@@ -223,7 +224,7 @@ def model_relationships(files: DataFrame, models: DataFrame) -> DataFrame:
     """path, qualname, field, symbol, target (model_id), multiplicity of the fields whose type names one of models(model_id, module,
     name): the first name that has a model in a module where it may come from, or that only one model has (in any case of letters, if
     none has it as written)."""
-    rows = files.select("path", "text").mapInPandas(_mapped(_field_rows, FIELDS), FIELDS)
+    rows = spread(files).mapInPandas(_mapped(_field_rows, FIELDS), FIELDS)
     exact = models.groupBy("module", "name").agg(F.max("model_id").alias("there"))
     only = models.groupBy("name").agg(F.count("*").alias("n"), F.min("model_id").alias("one"))
     lower = models.groupBy(F.lower("name").alias("low")).agg(F.count("*").alias("nl"), F.min("model_id").alias("one_low"))

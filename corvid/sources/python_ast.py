@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvid.functions.ids import module_name
+from corvid.sources.texts import by_text
 
 FUNCTIONS = (
     "path string, qualname string, kind string, start_line int, end_line int, n_params int, n_annotated int, returns_annotated boolean, is_async boolean, "
@@ -88,6 +89,11 @@ def _mapped(rows_of, columns: str):
     return run
 
 
+def parse_rows(files: DataFrame, rows_of, columns: str) -> DataFrame:
+    """The rows of all files; each distinct text is parsed once."""
+    return by_text(files, lambda texts: texts.mapInPandas(_mapped(rows_of, columns), columns))
+
+
 def _function_rows(path: str, tree: ast.AST, text: str) -> list[tuple]:
     lines, out = text.split("\n"), []
     for node, name, parent, _ in _walk(tree):
@@ -141,19 +147,19 @@ def _node_rows(path: str, tree: ast.AST, text: str) -> list[tuple]:
 
 def functions(files: DataFrame) -> DataFrame:
     """A row for each function and method, with sizes, complexity, typedness and counts of exits."""
-    rows = files.select("path", "text").mapInPandas(_mapped(_function_rows, FUNCTIONS), FUNCTIONS)
+    rows = parse_rows(files, _function_rows, FUNCTIONS)
     full = (F.col("n_params") > 0) & (F.col("n_annotated") == F.col("n_params")) & F.col("returns_annotated")
     kind = F.when(full, "typed").when((F.col("n_annotated") == 0) & ~F.col("returns_annotated"), "untyped").otherwise("partial")
     return rows.withColumn("typedness", kind).withColumn("module", module_name(F.col("path")))
 
 
 def calls(files: DataFrame) -> DataFrame:
-    return files.select("path", "text").mapInPandas(_mapped(_call_rows, CALLS), CALLS)
+    return parse_rows(files, _call_rows, CALLS)
 
 
 def imports(files: DataFrame) -> DataFrame:
     """Imports with `target`, the absolute module: relative ones are resolved against the file's package."""
-    rows = files.select("path", "text").mapInPandas(_mapped(_import_rows, IMPORTS), IMPORTS).withColumn("here", module_name(F.col("path")))
+    rows = parse_rows(files, _import_rows, IMPORTS).withColumn("here", module_name(F.col("path")))
     parts = F.split("here", r"\.")
     base = F.array_join(F.slice(parts, F.lit(1), F.greatest(F.size(parts) - F.col("level"), F.lit(0))), ".")
     joined = F.when(F.col("level") == 0, F.col("module")).otherwise(F.concat_ws(".", F.nullif(base, F.lit("")), F.nullif(F.col("module"), F.lit(""))))
@@ -161,7 +167,7 @@ def imports(files: DataFrame) -> DataFrame:
 
 
 def nodes(files: DataFrame) -> DataFrame:
-    return files.select("path", "text").mapInPandas(_mapped(_node_rows, NODES), NODES)
+    return parse_rows(files, _node_rows, NODES)
 
 
 def import_edges(files: DataFrame) -> DataFrame:

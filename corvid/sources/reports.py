@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corvid.sources.texts import spread
+
 _COVERAGE = "files map<string, struct<executed_lines: array<int>, missing_lines: array<int>>>"
 _TESTS = "created double, tests array<struct<nodeid: string, outcome: string, duration: double, keywords: map<string, boolean>>>"
 
@@ -95,4 +97,4 @@ def config_values(files: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["path", "format", "key", "value"])
 
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ("path", "format", "key", "value")])
-    return files.select("path", "text").mapInPandas(run, schema)
+    return spread(files).mapInPandas(run, schema)
