@@ -102,13 +102,41 @@ def module_metrics(edges: DataFrame, labels: DataFrame, **options) -> DataFrame:
     return directed_metrics(repeated, labels.select(F.col("label").alias("node")), **options)
 
 
+def projected_degrees(edges: DataFrame) -> DataFrame:
+    """node, projected_degree, projected_weight of the left nodes of edges(src, dst) that share a right node with another one: what both_ways
+    and a grouped sum make of `projection`, without a row for each pair of nodes.
+
+    The weight is a sum over a node's right nodes of their degrees less one. For the degree, nodes with equal sets of right nodes (by
+    their number and 128 bits of hashes) are one class. A right node that half of all classes have is a hub: a class at a hub meets all
+    that are there, and only those that are not are looked for by its other right nodes, as distinct pairs of classes; so are all that
+    classes without a hub meet."""
+    links = settle(edges.where("src is not null and dst is not null").select("src", "dst").distinct())
+    weights = links.join(links.groupBy("dst").agg((F.count("*") - 1).alias("w")), "dst").groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("projected_weight"))
+    digest = F.concat_ws(":", F.count("*"), F.bit_xor(F.xxhash64("dst")), F.bit_xor(F.xxhash64(F.lit(1), "dst")))
+    homes = settle(links.groupBy(F.col("src").alias("node")).agg(digest.alias("class")))
+    classes = homes.groupBy("class").agg(F.count("*").alias("size"), F.min("node").alias("src"))
+    held = settle(links.join(classes, "src").select("class", "size", "dst"))
+    n = held.select("class").distinct().count()
+    hubs = held.groupBy("dst").agg(F.count("*").alias("k"), F.sum("size").alias("degree")).where(F.col("k") * 2 >= n).select(F.col("dst").alias("hub"), "degree")
+    tops = held.join(hubs, F.col("dst") == F.col("hub"), "left").groupBy("class").agg(F.max(F.when(F.col("hub").isNotNull(), F.struct("degree", "hub"))).alias("top"))
+    tops = settle(tops.select("class", "top.degree", "top.hub"))
+    ways = held.select("class", "dst")
+    others = held.select(F.col("class").alias("other"), F.col("size").alias("n"), "dst")
+    taken = tops.where("hub is not null").select("hub").distinct()  # at most twice the mean number of right nodes of a class
+    absent = taken.crossJoin(others.select("other").distinct()).join(ways.select(F.col("dst").alias("hub"), F.col("class").alias("other")), ["hub", "other"], "left_anti")
+    far = tops.where("hub is not null").select("class", "hub").join(ways, "class").join(absent.join(others, "other"), ["hub", "dst"]).select("class", "other", "n")
+    near = tops.where("hub is null").select("class").join(ways, "class").join(others, "dst").select("class", "other", "n")
+    more = far.unionByName(near).distinct().groupBy("class").agg(F.sum("n").alias("more"))
+    zero = F.lit(0).cast("long")
+    degrees = tops.join(more, "class", "left").select("class", (F.coalesce("degree", zero) + F.coalesce("more", zero) - 1).alias("projected_degree"))
+    return homes.join(degrees, "class").join(weights, "node").where("projected_degree > 0").select("node", "projected_degree", "projected_weight")
+
+
 def bipartite_metrics(edges: DataFrame) -> DataFrame:
     """Tests and functions, or configuration keys and modules, of edges(src, dst, weight): side, node, degree, weighted_degree, centrality,
     and of the projection onto its side: projected_degree, projected_weight."""
+    edges = settle(edges)
     flipped = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    sides = []
-    for name, held in (("left", edges), ("right", flipped)):
-        ways = graph.both_ways(graph.projection(held))
-        sides.append(ways.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("projected_degree"), F.sum("weight").alias("projected_weight")).withColumn("side", F.lit(name)))
+    sides = [projected_degrees(held).withColumn("side", F.lit(name)) for name, held in (("left", edges), ("right", flipped))]
     both = sides[0].unionByName(sides[1])
     return graph.bipartite_degrees(edges).join(both, ["side", "node"], "left").na.fill(0, ["projected_degree", "projected_weight"])

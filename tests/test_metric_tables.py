@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corvid.operators import metric_tables as T
 
@@ -84,3 +85,28 @@ def test_bipartite_metrics(spark):
     assert got == {
         ("left", "t1"): (2, 3, 1, 1), ("left", "t2"): (1, 1, 1, 1), ("left", "t3"): (1, 4, 0, 0), ("right", "f"): (2, 3, 1, 1), ("right", "g"): (1, 1, 1, 1), ("right", "h"): (1, 4, 0, 0)
     }
+
+
+@pytest.mark.parametrize("kind", ["hub", "sparse", "copies"])
+def test_projected_degrees_are_those_of_the_projection(spark, kind):
+    rng = random.Random(5)
+    rows = {(a, 100 + rng.randrange(12 if kind == "sparse" else 6)) for a in range(40) for _ in range(rng.choice((1, 2, 3)))}
+    if kind == "hub":
+        rows |= {(a, 200) for a in range(40) if a % 4} | {(90, 300), (91, 300), (92, 301)}
+    if kind == "copies":
+        rows = {(a % 3 + 10 * c, b) for a, b in rows for c in range(20)}
+    edges = spark.createDataFrame([(a, b, 1) for a, b in sorted(rows)] + [(None, 100, 1), (1, None, 1)], SCHEMA)
+    near, weight = defaultdict(set), defaultdict(int)
+    for a, b in rows:
+        for c, d in rows:
+            if b == d and a != c:
+                near[a].add(c)
+                weight[a] += 1
+    assert {r["node"]: (r["projected_degree"], r["projected_weight"]) for r in T.projected_degrees(edges).collect()} == {v: (len(near[v]), weight[v]) for v in near}
+
+
+def test_projected_degrees_make_no_row_for_each_pair(spark):
+    """300,000 nodes at one right node have 45 billion pairs."""
+    edges = spark.range(300000).select(F.col("id").alias("src"), F.lit(1).cast("long").alias("dst"))
+    got = T.projected_degrees(edges).agg(F.count("*"), F.min("projected_degree"), F.max("projected_weight")).first()
+    assert tuple(got) == (300000, 299999, 299999)
