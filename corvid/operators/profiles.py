@@ -111,7 +111,7 @@ def call_neighbours(calls: DataFrame, wanted: DataFrame, direction: str = "both"
         raise ValueError(f"direction is in, out or both, not {direction}")
     ways: dict[str, tuple[str, str]] = {"in": ("callee_id", "caller_id"), "out": ("caller_id", "callee_id")}
     counted = calls.where("caller_id is not null and callee_id is not null").groupBy("caller_id", "callee_id").agg(F.count("*").alias("calls"))
-    asked = wanted.select("function_id").distinct()
+    asked = wanted.select("function_id").distinct().hint("merge")  # its files are small for its rows: no copy of it in every task
     one = lambda d: counted.select(F.col(ways[d][0]).alias("function_id"), F.lit(d).alias("direction"), F.col(ways[d][1]).alias("other"), "calls").join(asked, "function_id", "left_semi")
     return reduce(DataFrame.unionByName, [one(d) for d in ways if direction in (d, "both")])
 

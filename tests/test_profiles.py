@@ -53,3 +53,10 @@ def test_reads(spark):
     files = spark.createDataFrame([("r", "c", "a.py"), ("r", "c", "none.py")], "repo string, commit string, path string")
     held = {r["path"]: [x["function_id"] for x in r["functions"]] for r in P.with_functions(files, P.function_profile(_functions(spark))).collect()}
     assert held == {"a.py": [1, 2], "none.py": []}
+
+
+def test_neighbours_send_no_table_to_every_task(spark):
+    """The wanted functions have no bound, however small their files are."""
+    calls = spark.createDataFrame([(1, 2), (1, 2), (3, 2)], "caller_id long, callee_id long")
+    found = P.call_neighbours(calls, spark.range(4).withColumnRenamed("id", "function_id"))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString() and found.count() == 4
