@@ -24,21 +24,30 @@ def named_like(full: Column, asked: Column) -> Column:
     return (full == asked) | F.endswith(full, F.concat(F.lit("."), F.substring_index(asked, ".", -1)))
 
 
+#: Bands of a level are so many times as wide as those of the level below.
+FAN = 16
+
+
 def best_span(lookups: DataFrame, spans: DataFrame, on: Sequence[str], width: int = 256) -> DataFrame:
     """Each of lookups(on, lookup_id, start, end, name) with span_id and step of the span of spans(on, span_id, first, last,
     span_name) that fits best: 1 the same lines and a like name, 2 the same lines, 3 a like name and the first line inside, 4
     the first line inside, 5 the same first line. A null end is the start; without a name steps 1 and 3 are left out. Within a step
     the first span of the file wins, by first line, then by span_id. Without any, nulls.
 
-    A span has a row for each `width` lines that it touches and a lookup one for its first line, so that a lookup meets the
-    spans around it and not all of its file. Candidates are compared by a running minimum, before the shuffle too."""
+    Lines are cut into bands of `width` lines, of FAN times as many, and so on. A span has rows at one level, where it touches FAN + 1
+    bands at most, and a lookup has a row for its first line at each level that spans are at. So a lookup meets the spans around it and not
+    all of its file, and a long span has no more rows than a short one. Candidates are compared by a running minimum, before the shuffle too."""
     end, name = F.coalesce("end", "start"), F.when(F.col("name") != "", F.col("name"))
     same, like = (F.col("start") == F.col("first")) & (end == F.col("last")), F.coalesce(named_like(F.col("span_name"), name), F.lit(False))
     inside = F.col("start").between(F.col("first"), F.col("last"))
     step = F.when(same & like, 1).when(same, 2).when(inside & like, 3).when(inside, 4).when(F.col("start") == F.col("first"), 5)
-    band = lambda c: F.floor(c / width)
-    banded = spans.where("first is not null").select("*", F.explode(F.sequence(band(F.col("first")), band(F.greatest("first", "last")))).alias("__band"))
-    met = lookups.withColumn("__band", band(F.col("start"))).join(banded, [*on, "__band"]).withColumn("step", step).where("step is not null")
+    long = (F.greatest("first", "last") - F.col("first") + 1) / (FAN * width)
+    placed = settle(spans.where("first is not null").withColumn("__level", F.greatest(F.ceil(F.log(float(FAN), long)), F.lit(0)).cast("int")))
+    levels = [r[0] for r in placed.select("__level").distinct().collect()]  # at most one for each factor of FAN in the longest span
+    band = lambda c: F.floor(c / (width * F.pow(F.lit(float(FAN)), F.col("__level"))))
+    banded = placed.select("*", F.explode(F.sequence(band(F.col("first")), band(F.greatest("first", "last")))).alias("__band"))
+    asked = lookups.withColumn("__level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).withColumn("__band", band(F.col("start")))
+    met = asked.join(banded, [*on, "__level", "__band"]).withColumn("step", step).where("step is not null")
     best = met.groupBy("lookup_id").agg(F.min(F.struct("step", "first", "span_id")).alias("b"))
     return lookups.join(best, "lookup_id", "left").select(*lookups.columns, F.col("b.span_id").alias("span_id"), F.col("b.step").alias("step"))
 

@@ -1,5 +1,7 @@
 """Operators that pick rows: odd values, and what the tables of the queries don't hold."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from corvid.operators import selection as S
@@ -47,3 +49,15 @@ def test_trimmed_graph_rotates_nodes_and_edges(spark):
     assert said == {"nodes_before": len(nodes), "edges_before": len(rows), "nodes_after": 6, "edges_after": min(4, len(held)), "truncated": True}
     whole, said = S.trimmed_graph(edges)
     assert whole.count() == len(rows) and not said["truncated"]
+
+
+def test_long_spans_have_few_rows(spark):
+    """A lookup in spans of very different lengths, one of ten billion lines, against plain comparison."""
+    rng = random.Random(5)
+    spans = [("f", f"s{i}", a, a + int(10 ** rng.uniform(0, 6)), "n") for i in range(60) for a in [rng.randrange(100_000)]] + [("f", "wide", 5, 10**10, "n")]
+    asked = [("f", i, rng.randrange(150_000), None, None) for i in range(80)] + [("f", 80, 10**10, None, None), ("f", 81, 10**10 + 1, None, None)]
+    want = {i: min([(2 if s == first == last else 4, first, n) for _, n, first, last, _ in spans if first <= s <= last], default=None) for _, i, s, _, _ in asked}
+    got = S.best_span(
+        spark.createDataFrame(asked, "path string, lookup_id int, start long, end long, name string"), spark.createDataFrame(spans, "path string, span_id string, first long, last long, span_name string"), ["path"], 2
+    ).collect()
+    assert {r["lookup_id"]: (r["step"], r["span_id"]) for r in got} == {i: (w[0], w[2]) if w else (None, None) for i, w in want.items()}
