@@ -1,3 +1,5 @@
+from collections import defaultdict
+
 import hashlib
 
 from pyspark.sql import functions as F
@@ -63,6 +65,20 @@ def test_dominance_of_a_diamond(spark):
     assert got == {0: (0, 0, 0), 1: (0, 1, 1), 2: (0, 1, 1), 3: (0, 1, 2), 4: (3, 2, 3), 9: (None, None, None)}
 
 
+def test_dominance_of_many_equal_graphs(spark, monkeypatch):
+    """Many graphs in a batch, of few different edge lists, with and without room to keep them; repeated edges and order don't matter."""
+    shapes = [[(0, 1), (1, 2), (0, 2)], [(0, 1), (1, 2)], [(0, 1), (2, 1), (5, 6)]]
+    rows = [(g, *p) for g in range(60) for p in shapes[g % 3] + shapes[g % 3][:1]]
+    e = spark.createDataFrame(rows, "graph long, src int, dst int").repartition(5)
+    wants = [{(0, 0, 0, 0), (1, 0, 1, 1), (2, 0, 1, 1)}, {(0, 0, 0, 0), (1, 0, 1, 1), (2, 1, 2, 2)}, {(0, 0, 0, 0), (1, 0, 1, 1), (2, None, None, None), (5, None, None, None), (6, None, None, None)}]
+    for room in (K.KEPT_EDGES, 0):
+        monkeypatch.setattr(K, "KEPT_EDGES", room)
+        got = defaultdict(set)
+        for r in K.dominance(e).collect():
+            got[r["graph"]].add((r["node"], r["idom"], r["depth"], r["distance"]))
+        assert got == {g: wants[g % 3] for g in range(60)}
+
+
 def test_label_propagation_two_cliques(spark):
     e = edges(spark, [(1, 2), (2, 3), (1, 3), (4, 5), (5, 6), (4, 6), (3, 4)], 1).withColumn("graph", F.lit("g"))
     got = {r["node"]: r["label"] for r in K.label_propagation(e).collect()}
