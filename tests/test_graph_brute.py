@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corvid.operators import graph as G
 from corvid.operators import relational as R
+from corvid.operators.components import connected_components
 from corvid.plans import catalog, graphs
 
 DATA = "/root/testdata/sf0.001"
@@ -196,3 +197,43 @@ def test_every_query_is_held_against_something():
     brute = {"kcore", "condensation_layers", "betweenness", "label_propagation", "articulation_bridges", "dominance",
              "betweenness_sampled", "path_stats", "sketched_reach", "communities_by_mergers", "communities_by_graph", "small_clusters", "limited_clusters", "supplier_metrics"}
     assert set(catalog.queries()) == set(catalog.oracles()) | brute
+
+
+def test_projection_in_blocks_and_its_stars(spark, monkeypatch):
+    """Right nodes with more left nodes than a block has, tasks by pairs, nulls; the stars have the components of all pairs."""
+    rng = random.Random(3)
+    links = {(rng.randrange(40), rng.randrange(12)) for _ in range(90)} | {(100 + k, 50) for k in range(30)} | {(200, 60), (None, 50), (3, None)}
+    edges = spark.createDataFrame([(*p, 1) for p in links for _ in range(2)], "src long, dst long, weight long")
+    at = defaultdict(set)
+    for a, b in links:
+        if a is not None and b is not None:
+            at[b].add(a)
+    want = defaultdict(int)
+    for held in at.values():
+        for a in held:
+            for b in held:
+                if a < b:
+                    want[a, b] += 1
+    monkeypatch.setattr(G, "BLOCK_NODES", 7)
+    monkeypatch.setattr(G, "TASK_PAIRS", 50)
+    assert {(r["src"], r["dst"]): r["weight"] for r in G.projection(edges).collect()} == want
+    stars = [(r["src"], r["dst"]) for r in G.projection_stars(edges).collect()]
+    assert set(stars) <= set(want) and len(stars) == len(set(stars)) <= len(links)
+    parts = [{(r["node"], r["component"]) for r in connected_components(e).collect()} for e in (G.projection(edges), G.projection_stars(edges))]
+    assert parts[0] == parts[1]
+
+
+def test_tasks_of_the_projection_follow_its_pairs(spark, monkeypatch):
+    """One right node with 400 left ones: 79800 pairs, of which no task makes more than a block's share."""
+    monkeypatch.setattr(G, "BLOCK_NODES", 40)
+    monkeypatch.setattr(G, "TASK_PAIRS", 2_000)
+    edges = spark.range(400).select(F.col("id").alias("src"), F.lit(1).alias("dst"), F.lit(1).alias("weight"))
+    plan = G.projection(edges)._jdf.queryExecution().toString()
+    assert "RepartitionByExpression" in plan and ", 40" in plan
+
+
+def test_components_of_suppliers_make_no_pairs(spark, monkeypatch):
+    if not os.path.isdir(DATA):
+        pytest.skip("needs the test tables")
+    monkeypatch.setattr(G, "projection", None)
+    assert graphs.components(spark, DATA).count() > 0
