@@ -74,11 +74,20 @@ def file_hotspots(spark, d) -> DataFrame:
     return D.hotspots(files, _churn(spark, d)).select("path", F.round("score", 8).alias("score"))
 
 
-def _risk(spark, d) -> DataFrame:
+def _coverage(spark, d) -> DataFrame:
+    return D.function_coverage(functions(spark, d), lines(spark, d).drop("test_id"))
+
+
+def _tests(spark, d) -> DataFrame:
+    return D.function_tests(_edges(spark, d), catalog(spark, d))
+
+
+def _risk(spark, d, coverage: DataFrame | None = None, tests: DataFrame | None = None) -> DataFrame:
+    """Risk factors; coverage and tests may be given where a query needs them beside."""
     f, key = functions(spark, d), F.col("o_custkey")
     errors = _t(spark, d, "orders").select(_path(key).alias("path"), F.when((F.col("o_orderstatus") == "F") & (key % 97 % 3 == 0), 1).otherwise(0).alias("errors"))
     spots = D.hotspots(f.groupBy("path").agg(F.sum("complexity").alias("complexity")), _churn(spark, d))
-    return settle(D.risk_factors(f, D.function_coverage(f, lines(spark, d).drop("test_id")), D.function_tests(_edges(spark, d), catalog(spark, d)), errors, spots))
+    return settle(D.risk_factors(f, coverage or _coverage(spark, d), tests or _tests(spark, d), errors, spots))
 
 
 def risk_factors(spark, d) -> DataFrame:

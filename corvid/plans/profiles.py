@@ -22,9 +22,14 @@ def _calls(spark, d) -> DataFrame:
     return _t(spark, d, "lineitem").select(F.col("l_partkey").alias("caller_id"), F.when(F.col("l_suppkey") % 5 != 0, F.col("l_suppkey")).alias("callee_id"))
 
 
+def _shared(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Coverage and tests of functions, and the risks that are made of both: each worked out once."""
+    coverage, tests = settle(code_tables._coverage(spark, d)), settle(code_tables._tests(spark, d))
+    return coverage, tests, code_tables._risk(spark, d, coverage, tests)
+
+
 def _profile(spark, d) -> DataFrame:
-    f = code_tables.functions(spark, d)
-    risk = code_tables._risk(spark, d)
+    f, (coverage, tests, risk) = code_tables.functions(spark, d), _shared(spark, d)
     fans = R.fan_counts(_calls(spark, d).where("callee_id is not null"), "caller_id", "callee_id").withColumnRenamed("node", "function_id")
     facts = role_plans.functions(spark, d)
     named = roles_of.function_roles(facts).select("function_id", "role", "role_framework", "role_confidence")
@@ -33,8 +38,8 @@ def _profile(spark, d) -> DataFrame:
     errors = risk.select(*P.FUNCTION, F.col("errors").alias("static_errors"))
     snap = code_tables._snap
     return settle(P.function_profile(
-        f.withColumn("hotspot", F.lit(-1)), coverage=code_tables.D.function_coverage(f, code_tables.lines(spark, d).drop("test_id")), risk=risk.select(*P.FUNCTION, "risk_score", "risk_level", "hotspot"),
-        tests=code_tables.D.function_tests(code_tables._edges(spark, d), code_tables.catalog(spark, d)), diagnostics=errors, calls=snap(fans), roles=snap(named), effects=snap(effects), history=snap(history),
+        f.withColumn("hotspot", F.lit(-1)), coverage=coverage, risk=risk.select(*P.FUNCTION, "risk_score", "risk_level", "hotspot"),
+        tests=tests, diagnostics=errors, calls=snap(fans), roles=snap(named), effects=snap(effects), history=snap(history),
     ))
 
 
@@ -87,7 +92,9 @@ def file_hints(spark, d) -> DataFrame:
 
 def high_risk_functions(spark, d) -> DataFrame:
     """Functions of high risk that tests reach."""
-    return P.high_risk(_profile(spark, d), 0.7, True).select("function_id", F.round("risk_score", 8).alias("risk_score"))
+    coverage, _, risk = _shared(spark, d)
+    profile = P.function_profile(code_tables.functions(spark, d), coverage=coverage, risk=risk.select(*P.FUNCTION, "risk_score"))
+    return P.high_risk(profile, 0.7, True).select("function_id", F.round("risk_score", 8).alias("risk_score"))
 
 
 def call_neighbours(spark, d) -> DataFrame:

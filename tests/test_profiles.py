@@ -1,6 +1,9 @@
+import os
+
 import pytest
 
 from corvid.operators import profiles as P
+from corvid.plans import code_tables, profiles
 
 
 def _functions(spark):
@@ -60,3 +63,16 @@ def test_neighbours_send_no_table_to_every_task(spark):
     calls = spark.createDataFrame([(1, 2), (1, 2), (3, 2)], "caller_id long, callee_id long")
     found = P.call_neighbours(calls, spark.range(4).withColumnRenamed("id", "function_id"))
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString() and found.count() == 4
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the test tables")
+def test_shared_steps_of_profiles_run_once(spark, monkeypatch):
+    """Edges of tests are made once for a profile, and functions of high risk need neither history nor roles."""
+    made, real = [], code_tables._edges
+    monkeypatch.setattr(code_tables, "_edges", lambda *a: made.append(1) or real(*a))
+    profile = profiles._profile(spark, "/root/testdata/sf0.001")
+    assert len(made) == 1
+    want = {r["function_id"] for r in P.high_risk(profile, 0.7, True).collect()}
+    monkeypatch.setattr(code_tables, "function_history", None)
+    got = {r["function_id"] for r in profiles.high_risk_functions(spark, "/root/testdata/sf0.001").collect()}
+    assert got == want and len(made) == 2
