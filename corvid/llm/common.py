@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pandas as pd
@@ -130,6 +132,25 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def give_back() -> None:
+    """What this Python worker has freed goes back to the system. Spark keeps idle workers, which would hold it beside those of later stages."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run for mapInArrow, after which its worker gives back what it has freed."""
+
+    def tidied(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
 # --- bitmaps of fixed size --------------------------------------------------------------------------------------------
 
 BITMAP_BITS = 25

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm.common import bitmap_has, bitmap_of, chunks_of, drop_ids, in_bitmap, join_skewed, mix64, small_batches, utf8_parts, word_hashes
+from corvid.llm.common import bitmap_has, bitmap_of, chunks_of, drop_ids, in_bitmap, join_skewed, mix64, small_batches, tidy, utf8_parts, word_hashes
 from corvid.operators.components import connected_components
 from corvid.session import settle, shuffle_width
 
@@ -247,7 +247,7 @@ def count_classes(docs: DataFrame, rule: Rule = RULE):
             total += np.frombuffer(part, np.int32)
         return pd.DataFrame({"block": [key[0]], "classes": [np.minimum(4 * np.log2(total + 1), 255).astype(np.uint8).tobytes()]})
 
-    rows = docs.select("text").mapInArrow(count, "block int, counts binary").groupBy("block").applyInPandas(add, "block int, classes binary").collect()
+    rows = docs.select("text").mapInArrow(tidy(count), "block int, counts binary").groupBy("block").applyInPandas(add, "block int, classes binary").collect()
     classes = np.zeros((64, (1 << SKETCH_BITS) // 64), np.uint8)
     for r in rows:
         classes[r["block"]] = np.frombuffer(r["classes"], np.uint8)
@@ -316,7 +316,7 @@ def _verify(docs: DataFrame, points: DataFrame, pairs: DataFrame, rule: Rule) ->
 
     with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
     both = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-    return settle(both.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long"))
+    return settle(both.select("a", "b", "ta", "tb").mapInArrow(tidy(check), "a long, b long"))
 
 
 def _placed(component: DataFrame, of: DataFrame, name: str = "doc_id", to: str = "component") -> DataFrame:
@@ -339,20 +339,20 @@ def similar_components(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     small_batches(docs)
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    keyed = docs.mapInArrow(_least_hash(rule), "doc_id long, text string, n long, least long")
+    keyed = docs.mapInArrow(tidy(_least_hash(rule)), "doc_id long, text string, n long, least long")
     ranged = keyed.repartitionByRange(2 * shuffle_width(spark), "least", "doc_id").sortWithinPartitions("least", "doc_id")
-    led = settle(ranged.select("doc_id", "text", "least").mapInArrow(_lead(rule), "doc_id long, n long, leader long, equal boolean, point binary"))
+    led = settle(ranged.select("doc_id", "text", "least").mapInArrow(tidy(_lead(rule)), "doc_id long, n long, leader long, equal boolean, point binary"))
     links = led.where("leader <> doc_id").select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
     component = settle(connected_components(links, "a", "b"))
 
     # leading shingles of every different set, with the component of its document; equal sets are with their leader already
     classes = count_classes(docs, rule)
     skip = led.groupBy("doc_id").agg(F.min("equal").alias("equal")).where("equal").select("doc_id")
-    firsts = _placed(component, docs.mapInArrow(_firsts(classes, rule), _FIRSTS).select("doc_id", "shingles").join(skip, "doc_id", "left_anti"))
+    firsts = _placed(component, docs.mapInArrow(tidy(_firsts(classes, rule)), _FIRSTS).select("doc_id", "shingles").join(skip, "doc_id", "left_anti"))
     ends = firsts.select(F.explode("shingles").alias("shingle"), "component").groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     shared = settle(ends.where("lo <> hi").select("shingle"))
     bits = bitmap_of(shared, "shingle")
-    again = docs.mapInArrow(_firsts(classes, rule, bits), _FIRSTS).join(skip, "doc_id", "left_anti")
+    again = docs.mapInArrow(tidy(_firsts(classes, rule, bits)), _FIRSTS).join(skip, "doc_id", "left_anti")
     flat = again.select("doc_id", "n", F.explode(F.arrays_zip("shingles", "places")).alias("x")).select("doc_id", "n", F.col("x.shingles").alias("shingle"), F.col("x.places").alias("place"))
     members = settle(flat.join(shared, "shingle", "left_semi").distinct())
     # a document that shares more of its shingles is nearer to the middle of its group: the first to be held against

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm.common import BITMAP_BITS, bitmap_has, bitmap_slots, mix64, small_batches, utf8_parts
+from corvid.llm.common import BITMAP_BITS, bitmap_has, bitmap_slots, mix64, small_batches, tidy, utf8_parts
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_MODEL = 16 << 20
@@ -559,7 +559,7 @@ def sample_pieces(
 
     kind = docs.schema[key].dataType.simpleString()
     ready = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(key)).alias("row_key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return ready.mapInArrow(run, f"key {kind}, {fields}").withColumnRenamed("key", key)
+    return ready.mapInArrow(tidy(run), f"key {kind}, {fields}").withColumnRenamed("key", key)
 
 
 def decode_pieces(encoded: DataFrame, ids: str = "ids", model: str = MODEL, into: str = "decoded") -> DataFrame:

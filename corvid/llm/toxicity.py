@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm.common import IS_SPACE, chunks_of, mix64, small_batches, utf8_parts
+from corvid.llm.common import IS_SPACE, chunks_of, mix64, small_batches, tidy, utf8_parts
 from corvid.session import settle
 
 ORDERS = (4, 5, 6)
@@ -129,7 +129,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, kept: int = KE
     small_batches(docs)
     found, clean_all, toxic_all = training_rows(docs, labels, sample)
     rows = settle(found)
-    counted = rows.select("text", "toxic").mapInArrow(_count, "feature long, clean long, toxic long")
+    counted = rows.select("text", "toxic").mapInArrow(tidy(_count), "feature long, clean long, toxic long")
     sums = counted.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     got = sums.where(f"clean + toxic >= {MIN_COUNT} or feature < 0").toPandas()  # 2^BITS rows at most
     total = got[got.feature < 0]
@@ -151,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, kept: int = KE
             f = [x.tolist() for x in text_features(batch.column("text"), table)]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(f, pa.list_(pa.int64()))], ["toxic", "f"])
 
-    got_rows = rows.select("text", "toxic").mapInArrow(places, "toxic int, f array<long>").toPandas()  # the bounded sample
+    got_rows = rows.select("text", "toxic").mapInArrow(tidy(places), "toxic int, f array<long>").toPandas()  # the bounded sample
     y = (got_rows.toxic.to_numpy() > 0).astype(float)
     lengths = np.array([len(x) for x in got_rows.f], np.int64)
     flat = np.concatenate([np.asarray(x, np.int64) for x in got_rows.f]) if lengths.sum() else np.zeros(0, np.int64)
