@@ -1,8 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Words (lower case, marks as breaks) are hashed into 2^BITS features, weighted by their inverse frequency over all
-documents. A randomised SVD of weighted passages - a bounded sample of SAMPLE_DOCS documents and the benchmark - gives a
-projection to RANK dimensions: Spark sums the products of the passages with a random test matrix, block by block, for each
+documents. A randomised SVD of the weighted passages of the whole benchmark gives a
+projection to RANK dimensions: what is searched for lies in their span, and nothing is learned from a sample. Spark sums the products of the passages with a random test matrix, block by block, for each
 power iteration, and the driver holds matrices of 2^BITS x RANK only. Every passage of every document (32 words, each
 starting 16 after the last) is projected and held against the benchmark's passages; a cosine at or
 above the item's limit is a candidate, and of overlapping ones the best. The longest common subsequence of words settles it: MIN_LCS of the benchmark passage within the words around
@@ -29,14 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm.common import IS_MARK, chunks_of, drop_ids, mix64, small_batches, utf8_parts, word_hashes
+from corvid.llm.common import IS_MARK, chunks_of, drop_ids, mix64, small_batches, tidy, utf8_parts, word_hashes
 from corvid.session import settle
 
 BITS = 14
 RANK = 128
 SPARE = 16
 POWERS = 2
-SAMPLE_DOCS = 2000
+LEAST_SHARE = 1e-4
 STRIDE = 16
 ITEM_WORDS = 48
 MIN_WORDS = 6
@@ -71,7 +71,7 @@ def word_counts(docs: DataFrame) -> np.ndarray:
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["feature", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toPandas()
+    rows = docs.select("text").mapInArrow(tidy(count), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(1 << BITS)
     out[rows["feature"].to_numpy(np.int64)] = rows["n"].to_numpy(float)
     return out
@@ -129,7 +129,7 @@ def _summed_product(passages: DataFrame, idf: np.ndarray, right: np.ndarray, gra
     def add(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"block": [key[0]], "part": [np.sum([np.frombuffer(p, np.float32) for p in pdf["part"]], axis=0, dtype=np.float32).tobytes()]})
 
-    parts = passages.mapInArrow(run, "block int, part binary").groupBy("block").applyInPandas(add, "block int, part binary").collect()
+    parts = passages.mapInArrow(tidy(run), "block int, part binary").groupBy("block").applyInPandas(add, "block int, part binary").collect()
     joined = b"".join(r["part"] for r in sorted(parts, key=lambda r: r["block"]))
     return np.frombuffer(joined, np.float32).reshape(-1, wide).astype(float) if joined else np.zeros((wide if gram else 1 << BITS, wide))
 
@@ -157,19 +157,18 @@ class LatentSpace:
         return out, starts, row
 
 
-def fit_space(docs: DataFrame, benchmark: DataFrame, sample_docs: int = SAMPLE_DOCS, rank: int = RANK) -> LatentSpace:
+def fit_space(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> LatentSpace:
+    """Word weights of all documents, and the projection of all passages of the benchmark."""
     counts = word_counts(docs)
     idf = np.log1p((counts.sum() + 1) / (counts + 1))
-    texts = docs.select("doc_id", "text").where("text is not null")
-    some = texts.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample_docs / max(texts.count(), 1))))
-    passages = settle(
-        some.select("text").unionByName(benchmark.select("text").where("text is not null")).repartition(8).mapInArrow(_sparse_passages, "f array<long>")
-    )
+    texts = benchmark.select("text").where("text is not null")
+    passages = settle(texts.repartition(8).mapInArrow(tidy(_sparse_passages), "f array<long>"))
     basis = np.random.default_rng(SEED).standard_normal((1 << BITS, rank + SPARE))
     for _ in range(POWERS):
         basis, _ = np.linalg.qr(_summed_product(passages, idf, basis, gram=False))
     values, turn = np.linalg.eigh(_summed_product(passages, idf, basis, gram=True))
     order = np.argsort(-values)[:rank]
+    order = order[values[order] > LEAST_SHARE * values[order[0]]]  # a small benchmark has fewer directions; the rest would be rounding errors
     scale = 1 / np.sqrt(np.maximum(values[order], 1e-9))  # by the singular values: what all passages share counts less
     vectors = (basis @ turn[:, order]) * scale * idf[:, None]
     return LatentSpace(np.vstack((vectors, np.zeros((1, len(order))))).astype(np.float32))
@@ -297,7 +296,7 @@ def search(docs: DataFrame, benchmark: DataFrame, space: LatentSpace, min_lcs: f
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *columns], [*kept, "item_id", "lcs_share", "cosine", "answer_found"])
 
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-        found = docs.mapInArrow(run, f"{fields}, item_id long, lcs_share double, cosine double, answer_found boolean")
+        found = docs.mapInArrow(tidy(run), f"{fields}, item_id long, lcs_share double, cosine double, answer_found boolean")
         out = found if out is None else out.unionByName(found)
     if n_blocks > 1:  # the best block of each row
         keys = [f.name for f in docs.schema if f.name not in ("text", "__row")]

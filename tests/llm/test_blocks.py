@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from corvid.llm import decontaminate
 
 
@@ -24,3 +26,11 @@ def test_small_blocks_give_each_row_once(spark, monkeypatch):
         got.append(sorted((str(r["doc_id"]), str(r["item_id"]), str(r["lcs_share"]), str(r["answer_found"])) for r in found.collect()))
     assert len(got[0]) == len(rows) and got[0] == got[1]
     assert [r[1] for r in got[1] if r[0] == "7"] == ["3", "4", "None"] and sorted(r[1] for r in got[1] if r[0] == "None") == ["5", "None", "None"]
+
+
+def test_the_projection_knows_no_sample_of_documents(spark):
+    """The same texts under other ids give the same space."""
+    rows = [(i, f"w{i % 50} w{i % 7} w{i % 11} w{i % 13} w{i % 3} w{i % 17} more") for i in range(2600)]
+    bench = spark.createDataFrame([(k, " ".join(f"w{(k * j) % 50}" for j in range(20))) for k in range(6)], "item_id long, text string")
+    spaces = [decontaminate.fit_space(spark.createDataFrame([(i + shift, t) for i, t in rows], "doc_id long, text string"), bench, 4).vectors for shift in (0, 10**6)]
+    assert np.allclose(abs(spaces[0]), abs(spaces[1]), atol=1e-4)
