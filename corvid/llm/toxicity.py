@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm.common import IS_SPACE, chunks_of, mix64, small_batches, tidy, utf8_parts
+from corvid.llm.common import IS_SPACE, chunks_of, give_back, mix64, small_batches, tidy, utf8_parts
 from corvid.session import settle
 
 ORDERS = (4, 5, 6)
@@ -148,14 +148,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, kept: int = KE
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            f = [x.tolist() for x in text_features(batch.column("text"), table)]
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(f, pa.list_(pa.int64()))], ["toxic", "f"])
-
-    got_rows = rows.select("text", "toxic").mapInArrow(tidy(places), "toxic int, f array<long>").toPandas()  # the bounded sample
-    y = (got_rows.toxic.to_numpy() > 0).astype(float)
-    lengths = np.array([len(x) for x in got_rows.f], np.int64)
-    flat = np.concatenate([np.asarray(x, np.int64) for x in got_rows.f]) if lengths.sum() else np.zeros(0, np.int64)
+            f = list(text_features(batch.column("text"), table))
+            flat = np.concatenate(f) if f else np.zeros(0, np.int64)
+            marks = batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int8)
+            held = marks, np.array([len(x) for x in f], np.int32), flat.astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in held], ["toxic", "lengths", "f"])
+
+    # the bounded sample; a row for each batch, so that the driver holds four bytes for each feature of a text and no list for each text
+    sent = rows.select("text", "toxic").mapInArrow(tidy(places), "toxic binary, lengths binary, f binary").toPandas()
+    y, lengths, flat = (np.frombuffer(b"".join(sent[c]), kind) for c, kind in (("toxic", np.int8), ("lengths", np.int32), ("f", np.int32)))
+    del sent
+    y = (y > 0).astype(float)
     weights, bias = _logistic(flat, lengths, y, ratio)
+    del flat
+    give_back()
     if not len(y) or y.min() == y.max():
         return empty
     # the sample's odds give way to those of all training rows
@@ -163,20 +169,27 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, kept: int = KE
     return ToxicModel(table, weights * ratio, float(bias))
 
 
+#: Features of whole rows that a gradient step works on at once: its arrays are of this length, whatever the sample.
+STEP_FEATURES = 1 << 16
+
+
 def _logistic(flat: np.ndarray, lengths: np.ndarray, y: np.ndarray, scale: np.ndarray, steps: int = 300) -> tuple[np.ndarray, float]:
     """Ridge logistic regression on presence times scale, by accelerated gradient steps; starts from naive Bayes."""
-    n, row = len(y), np.repeat(np.arange(len(y)), lengths)
-    value = scale[flat]
+    n, at = len(y), np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
+    blocks = [(i, j, np.repeat(np.arange(j - i, dtype=np.int32), lengths[i:j]), flat[at[i] : at[j]]) for i, j in chunks_of(at, STEP_FEATURES)]
     # weights on scaled features; steps by a bound of the curvature
     w, b = np.zeros(len(scale)), 0.0
-    mass = np.bincount(row, value * value, minlength=n)
+    mass = np.concatenate([np.bincount(row, scale[f] ** 2, minlength=j - i) for i, j, row, f in blocks] or [np.zeros(0)])
     rate = 4.0 / (mass.mean() + 1.0) if n else 1.0
     vw, vb = w.copy(), b
     for step in range(steps):
-        z = np.bincount(row, vw[flat] * value, minlength=n) + vb
-        error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
-        gw = np.bincount(flat, error[row] * value, minlength=len(scale)) / max(n, 1) + RIDGE * vw
-        gb = error.mean() if n else 0.0
+        gw, gb = RIDGE * vw, 0.0
+        for i, j, row, f in blocks:
+            value = scale[f]
+            z = np.bincount(row, vw[f] * value, minlength=j - i) + vb
+            error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[i:j]
+            gw += np.bincount(f, error[row] * value, minlength=len(scale)) / n
+            gb += error.sum() / n
         nw, nb = vw - rate * gw, vb - rate * gb
         k = step / (step + 3)
         vw, vb = nw + k * (nw - w), nb + k * (nb - b)
