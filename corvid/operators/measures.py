@@ -3,45 +3,88 @@ edges. And the table of global statistics, with the clustering of directed graph
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.operators.components import connected_components
 from corvid.operators.graph import bfs_levels, nodes_of, simple_layers
-from corvid.session import settle
+from corvid.operators.ranges import numbered
+from corvid.operators.sketches import ROWS, Sketches
+from corvid.session import settle, shuffle_width
 
 #: 2^LG registers a sketch. Sets of up to about 2^(LG - 3) members are counted exactly, larger ones with a relative standard error
 #: of 1.04 / 2^(LG / 2), 1.6 % at 12; a sketch takes 2^LG bytes at most.
 LG = 12
 
 
+#: A task unites the sketches of a block of nodes: at most so many bytes of them, and no fewer nodes than make a task worth while.
+BLOCK_BYTES, BLOCK_NODES = 1 << 27, 4096
+
+
+def _unite(lg: int, size: int):
+    """Rows of the whole nodes of a block, with the unions of their sketches and of those sent to them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[int, tuple[Sketches, list[pa.StructArray]]] = {}
+        for batch in batches:
+            to, images = batch.column("to"), batch.column("sketch")
+            ends, flat, of = to.offsets.to_numpy(), to.values.to_numpy(), batch.column("block").to_numpy()
+            for block in np.unique(of):
+                held = blocks.setdefault(int(block), (Sketches(lg, size), []))
+                held[1].append(batch.column("own").filter(pc.and_(pc.equal(batch.column("block"), block), batch.column("own").is_valid())))
+            for i, block in enumerate(of):
+                blocks[block][0].add(images[i].as_buffer(), flat[ends[i] : ends[i + 1]])
+        for sketches, parts in blocks.values():
+            for own in (p.slice(k, ROWS) for p in parts for k in range(0, len(p), ROWS)):
+                columns = dict(zip([f.name for f in own.type], own.flatten(), strict=True))
+                columns["sketch"] = pa.array(list(sketches.images(columns["at"].to_numpy())), pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return run
+
+
 def neighbourhoods(edges: DataFrame, lg: int = LG, inbound: bool = True) -> DataFrame:
     """node, reached (nodes that reach it, itself left out), distance_sum, harmonic (sums of distances and of their
     inverses), last (the round in which its set last grew). Outbound sets with inbound=False. Round t unites each set with those
-    of the nodes one edge before it, so it then holds all within t edges; only sets that grew are sent, united before they are
-    shuffled, and rounds end with the longest shortest path. No row stands for a pair of nodes."""
+    of the nodes one edge before it, so it then holds all within t edges; only sets that grew are sent, and rounds end with the longest
+    shortest path. No row stands for a pair of nodes.
+
+    Nodes are dealt to blocks by their order, and a set goes once to each block that has an edge from it, with the places of the
+    nodes there, not once along each edge. A round is one shuffle of these; the state of the round before is deleted."""
     far, near = ("src", "dst") if inbound else ("dst", "src")
     links = settle(edges.where("src is not null and dst is not null and src <> dst").select(F.col(far).alias("far"), F.col(near).alias("node")).distinct())
-    nodes = nodes_of(edges).where("node is not null")
-    own = nodes.groupBy("node").agg(F.hll_sketch_agg("node", F.lit(lg)).alias("sketch"))
+    placed, n = numbered(nodes_of(edges).where("node is not null"), ["node"])
+    size = max(1, min(BLOCK_BYTES >> lg, max(BLOCK_NODES, -(-n // shuffle_width(edges.sparkSession)))))
+    homes = settle(placed.select("node", F.floor(F.col("__place") / size).cast("int").alias("block"), (F.col("__place") % size).cast("int").alias("at")))
+    sends = links.join(homes, "node").groupBy("far", "block").agg(F.collect_list("at").alias("to")).groupBy(F.col("far").alias("node")).agg(F.collect_list(F.struct("block", "to")).alias("sends"))
+    own = homes.groupBy("node", "block", "at").agg(F.hll_sketch_agg("node", F.lit(lg)).alias("sketch"))
     zero = F.lit(0.0)
-    state = settle(own.select("node", "sketch", F.lit(1.0).alias("size"), zero.alias("distance_sum"), zero.alias("harmonic"), F.lit(0).alias("last")))
-    level = 0
+    none = F.array().cast("array<struct<block: int, to: array<int>>>")
+    rest = [F.lit(1.0).alias("size"), zero.alias("distance_sum"), zero.alias("harmonic"), F.lit(0).alias("last")]
+    state = settle(own.join(sends, "node", "left").select("node", "block", "at", F.coalesce("sends", none).alias("sends"), *rest, "sketch"))
+    schema, level = state.schema, 0
     while True:
         level += 1
-        front = state.where(F.col("last") == level - 1).select(F.col("node").alias("far"), "sketch")
-        got = front.join(links, "far").groupBy("node").agg(F.hll_union_agg("sketch").alias("got"))
-        joined = state.join(got, "node", "left").withColumn("united", F.when(F.col("got").isNotNull(), F.hll_union("sketch", "got")).otherwise(F.col("sketch")))
-        grown = joined.withColumn("now", F.when(F.col("got").isNotNull(), F.hll_sketch_estimate("united").cast("double")).otherwise(F.col("size")))
-        more = F.greatest(F.col("now") - F.col("size"), zero)
+        home = F.struct("block", F.array("at").alias("to"), F.lit(True).alias("mine"))
+        away = F.transform("sends", lambda x: F.struct(x["block"].alias("block"), x["to"].alias("to"), F.lit(False).alias("mine")))
+        sent = state.select(F.explode(F.when(F.col("last") == level - 1, F.concat(F.array(home), away)).otherwise(F.array(home))).alias("s"), "sketch", F.struct(*(c for c in state.columns if c != "sketch")).alias("own"))
+        sent = sent.select("s.block", "s.to", "sketch", F.when(F.col("s.mine"), F.col("own")).alias("own"))
+        united = sent.repartitionById(max(1, -(-n // size)), "block").mapInArrow(_unite(lg, size), schema)
+        grown = united.withColumn("now", F.greatest(F.hll_sketch_estimate("sketch").cast("double"), "size"))
+        more = F.col("now") - F.col("size")
         state = settle(
             grown.select(
-                "node", F.col("united").alias("sketch"), F.greatest("now", "size").alias("size"), (F.col("distance_sum") + level * more).alias("distance_sum"),
-                (F.col("harmonic") + more / level).alias("harmonic"), F.when(more > 0, level).otherwise(F.col("last")).alias("last"),
-            )
+                "node", "block", "at", "sends", F.col("now").alias("size"), (F.col("distance_sum") + level * more).alias("distance_sum"), (F.col("harmonic") + more / level).alias("harmonic"),
+                F.when(more > 0, level).otherwise(F.col("last")).alias("last"), "sketch",
+            ), state
         )
         if state.where(F.col("last") == level).isEmpty():
-            return state.select("node", (F.col("size") - 1).alias("reached"), "distance_sum", "harmonic", "last")
+            return settle(state.select("node", (F.col("size") - 1).alias("reached"), "distance_sum", "harmonic", "last"), state)
 
 
 def sketched_reach(edges: DataFrame, lg: int = LG) -> DataFrame:
@@ -70,7 +113,7 @@ def path_stats(edges: DataFrame, lg: int = LG) -> DataFrame:
     two sweeps, from the least node and from the least of those farthest from it: the second one's depth is a lower bound, and
     twice the lesser depth an upper one. mean_path is estimated by sketches."""
     ways = settle(largest_component(edges))
-    around = settle(neighbourhoods(ways, lg))
+    around = neighbourhoods(ways, lg)
     first = bfs_levels(ways, nodes_of(ways).agg(F.min("node").alias("node")).where("node is not null"))
     end = settle(first.groupBy("distance").agg(F.min("node").alias("node")).orderBy(F.desc("distance")).limit(1))
     second = bfs_levels(ways, end.select("node"))
