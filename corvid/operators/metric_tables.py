@@ -23,17 +23,19 @@ def _wide(nodes: DataFrame, tables: list[DataFrame], zero: list[str]) -> DataFra
     return reduce(lambda a, b: a.join(b, "node", "left"), tables, nodes).na.fill(0, zero)
 
 
-def component_metadata(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+def component_metadata(edges: DataFrame, nodes: DataFrame | None = None, layers: bool = True) -> DataFrame:
     """node, component_id (least node of its weak component), component_size, scc_id (least node of its strong component), scc_size,
-    in_cycle (a strong component of several nodes), layer (longest path of the condensation that leads to it)."""
+    in_cycle (a strong component of several nodes), layer (longest path of the condensation that leads to it). Without `layers` that
+    column is left out, and the condensation isn't built."""
     links = settle(edges.where("src is not null and dst is not null").select("src", "dst").distinct())
     every = _all_nodes(links, nodes)
     weak = connected_components(links).withColumnRenamed("component", "component_id")
-    strong = graph.simple_layers(links.withColumn("weight", F.lit(1))).withColumnRenamed("component", "scc_id")
-    rows = settle(_wide(every, [weak, strong], ["layer"]).withColumns({c: F.coalesce(c, "node") for c in ("component_id", "scc_id")}))
+    weighted = links.withColumn("weight", F.lit(1))
+    strong = (graph.simple_layers(weighted) if layers else graph.strong_components(weighted)).withColumnRenamed("component", "scc_id")
+    rows = settle(_wide(every, [weak, strong], ["layer"] if layers else []).withColumns({c: F.coalesce(c, "node") for c in ("component_id", "scc_id")}))
     sizes = [rows.groupBy(f"{c}_id").agg(F.count("*").alias(f"{c}_size")) for c in ("component", "scc")]
     return rows.join(sizes[0], "component_id").join(sizes[1], "scc_id").select(
-        "node", "component_id", "component_size", "scc_id", "scc_size", (F.col("scc_size") > 1).alias("in_cycle"), "layer"
+        "node", "component_id", "component_size", "scc_id", "scc_size", (F.col("scc_size") > 1).alias("in_cycle"), *(["layer"] if layers else [])
     )
 
 

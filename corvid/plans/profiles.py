@@ -54,7 +54,7 @@ def function_architecture(spark, d) -> DataFrame:
     """Profiles beside measures of control flow and of call components."""
     flow = source_text.control_flow(spark, d).withColumnRenamed("part", "function_id").select("function_id", "blocks", "longest_path", "mean_distance")
     calls = settle(_calls(spark, d).where("callee_id is not null").select(F.col("caller_id").alias("src"), F.col("callee_id").alias("dst")).distinct())
-    parts = T.component_metadata(calls).withColumnRenamed("node", "function_id").select("function_id", "component_size", "scc_size", "in_cycle")
+    parts = T.component_metadata(calls, layers=False).withColumnRenamed("node", "function_id").select("function_id", "component_size", "scc_size", "in_cycle")
     out = P.star(_profile(spark, d), {"cfg": code_tables._snap(flow), "calls": code_tables._snap(parts)}, P.FUNCTION)
     some = lambda c: F.coalesce(c, F.lit(-1)).alias(c)
     return out.select("function_id", F.round("risk_score", 8).alias("risk_score"), "role", "fan_out", "cfg_blocks", "cfg_longest_path", "cfg_mean_distance", some("calls_component_size"), F.coalesce("calls_in_cycle", F.lit(False)).alias("in_cycle"))

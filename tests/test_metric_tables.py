@@ -110,3 +110,13 @@ def test_projected_degrees_make_no_row_for_each_pair(spark):
     edges = spark.range(300000).select(F.col("id").alias("src"), F.lit(1).cast("long").alias("dst"))
     got = T.projected_degrees(edges).agg(F.count("*"), F.min("projected_degree"), F.max("projected_weight")).first()
     assert tuple(got) == (300000, 299999, 299999)
+
+
+def test_components_without_layers_build_no_condensation(spark, monkeypatch):
+    """A cycle of two that leads to a third node, and a loop."""
+    edges = spark.createDataFrame([(1, 2), (2, 1), (2, 3), (8, 8)], "src long, dst long")
+    want = {tuple(r)[:-1] for r in T.component_metadata(edges).collect()}
+    for name in ("quotient", "dag_layers"):
+        monkeypatch.setattr(T.graph, name, None)
+    got = T.component_metadata(edges, layers=False)
+    assert "layer" not in got.columns and {tuple(r) for r in got.collect()} == want
