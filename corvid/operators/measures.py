@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from corvid.operators.components import connected_components
 from corvid.operators.graph import bfs_levels, nodes_of, simple_layers
 from corvid.operators.ranges import numbered
+from corvid.operators.registers import sliced_neighbourhoods
 from corvid.operators.sketches import ROWS, Sketches
 from corvid.session import settle, shuffle_width
 
@@ -87,9 +88,16 @@ def neighbourhoods(edges: DataFrame, lg: int = LG, inbound: bool = True) -> Data
             return settle(state.select("node", (F.col("size") - 1).alias("reached"), "distance_sum", "harmonic", "last"), state)
 
 
+def _around(edges: DataFrame, lg: int, inbound: bool = True) -> DataFrame:
+    """Neighbourhoods by slices of registers where a task can hold the graph, else by sketches that travel."""
+    found = sliced_neighbourhoods(edges, lg, inbound)
+    return neighbourhoods(edges, lg, inbound) if found is None else found
+
+
 def sketched_reach(edges: DataFrame, lg: int = LG) -> DataFrame:
     """node, descendants, ancestors, closeness and harmonic (inbound) from two passes of sketches."""
-    into, out = neighbourhoods(edges, lg), neighbourhoods(edges, lg, inbound=False)
+    edges = settle(edges.select("src", "dst"))
+    into, out = _around(edges, lg), _around(edges, lg, inbound=False)
     n = into.agg(F.count("*").alias("n"))
     near = F.col("reached") / F.col("distance_sum") * F.col("reached") / (F.col("n") - 1)
     return (
