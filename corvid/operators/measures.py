@@ -121,7 +121,7 @@ def path_stats(edges: DataFrame, lg: int = LG) -> DataFrame:
     two sweeps, from the least node and from the least of those farthest from it: the second one's depth is a lower bound, and
     twice the lesser depth an upper one. mean_path is estimated by sketches."""
     ways = settle(largest_component(edges))
-    around = neighbourhoods(ways, lg)
+    around = _around(ways, lg)
     first = bfs_levels(ways, nodes_of(ways).agg(F.min("node").alias("node")).where("node is not null"))
     end = settle(first.groupBy("distance").agg(F.min("node").alias("node")).orderBy(F.desc("distance")).limit(1))
     second = bfs_levels(ways, end.select("node"))

@@ -42,11 +42,12 @@ def test_both_forms_of_neighbourhoods_agree(spark, monkeypatch):
     assert R.sliced_neighbourhoods(edges, 12) is None or edges.distinct().count() <= 199
 
 
-def test_no_sketch_travels_in_reach(spark, monkeypatch):
-    """Reach in a graph that a task can hold makes no round of sketches."""
+def test_no_sketch_travels_in_reach_and_path_stats(spark, monkeypatch):
+    """Reach and mean path of a graph that a task can hold make no round of sketches."""
     monkeypatch.setattr(M, "neighbourhoods", None)
     edges = spark.createDataFrame([(0, k) for k in range(1, 30)], "src long, dst long")
     assert {r["node"]: (r["descendants"], r["ancestors"]) for r in M.sketched_reach(edges).collect()} == {0: (29, 0)} | {k: (0, 1) for k in range(1, 30)}
+    assert M.path_stats(edges).first()["mean_path"] == pytest.approx((2 * 29 + 2 * 29 * 28) / (30 * 29))
 
 
 def test_estimates_of_many_sizes():
